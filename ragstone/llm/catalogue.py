@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ragstone.llm import sharding
+from ragstone.llm import bpe, packing, sharding, token_files, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,8 +17,37 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(_table(spark, sf_dir, "documents"), n_shards=40)
 
 
+def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.round_trip(_table(spark, sf_dir, "documents"))
+
+
+def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.token_file_round_trip(_table(spark, sf_dir, "documents"))
+
+
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_round_trip(_table(spark, sf_dir, "pages"))
+
+
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_sharding": op2_sharding,
+    "op3_bpe": op3_bpe,
+    "op4_token_files": op4_token_files,
+    "op9_warc": op9_warc,
+    "op10_packing": op10_packing,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op9_warc": """
+        WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+        c AS (SELECT html, max(page_id) AS last_id FROM p WHERE strlen(html) >= 1000 GROUP BY html)
+        SELECT p.page_id, CAST(strlen(p.html) AS BIGINT) AS payload_bytes, sha1(p.html) AS payload_digest,
+               CASE WHEN c.last_id <> p.page_id THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN c.last_id <> p.page_id THEN c.last_id END AS refers_to
+        FROM p LEFT JOIN c ON p.html = c.html
+    """,
+}
