@@ -6,13 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ragstone.llm import bpe, packing, sharding, token_files, warc
+from ragstone.llm import bpe, packing, pii, quality, sharding, token_files, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_verdicts(_table(spark, sf_dir, "documents"))
+
+
 def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(_table(spark, sf_dir, "documents"), n_shards=40)
 
@@ -25,6 +29,10 @@ def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_file_round_trip(_table(spark, sf_dir, "documents"))
 
 
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find_pii(_table(spark, sf_dir, "documents"))
+
+
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_round_trip(_table(spark, sf_dir, "pages"))
 
@@ -34,14 +42,17 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_quality": op1_quality,
     "op2_sharding": op2_sharding,
     "op3_bpe": op3_bpe,
     "op4_token_files": op4_token_files,
+    "op6_pii": op6_pii,
     "op9_warc": op9_warc,
     "op10_packing": op10_packing,
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op1_quality": quality.ORACLE_SQL,
     "op9_warc": """
         WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
         c AS (SELECT html, max(page_id) AS last_id FROM p WHERE strlen(html) >= 1000 GROUP BY html)
