@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ragstone.llm import bpe, packing, pii, quality, sharding, token_files, warc
+from ragstone.llm import ann, bpe, packing, pii, quality, sharding, token_files, url_filter, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,10 +29,18 @@ def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_file_round_trip(_table(spark, sf_dir, "documents"))
 
 
+def op5_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(_table(spark, sf_dir, "embeddings"))
+
+
 def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find_pii(_table(spark, sf_dir, "documents"))
 
 
+def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge_urls(_table(spark, sf_dir, "pages"))
+
+
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_round_trip(_table(spark, sf_dir, "pages"))
 
@@ -46,13 +54,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_sharding": op2_sharding,
     "op3_bpe": op3_bpe,
     "op4_token_files": op4_token_files,
+    "op5_nearest": op5_nearest,
     "op6_pii": op6_pii,
+    "op7_url_filter": op7_url_filter,
     "op9_warc": op9_warc,
     "op10_packing": op10_packing,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op1_quality": quality.ORACLE_SQL,
+    "op7_url_filter": url_filter.ORACLE_SQL,
     "op9_warc": """
         WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
         c AS (SELECT html, max(page_id) AS last_id FROM p WHERE strlen(html) >= 1000 GROUP BY html)
