@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ragstone.llm import ann, bpe, packing, pii, quality, sharding, token_files, url_filter, warc
+from ragstone.llm import ann, bpe, packing, pii, quality, set_join, sharding, token_files, url_filter, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -41,6 +41,10 @@ def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(_table(spark, sf_dir, "pages"))
 
 
+def op8_set_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return set_join.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_round_trip(_table(spark, sf_dir, "pages"))
 
@@ -57,6 +61,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_nearest": op5_nearest,
     "op6_pii": op6_pii,
     "op7_url_filter": op7_url_filter,
+    "op8_set_join": op8_set_join,
     "op9_warc": op9_warc,
     "op10_packing": op10_packing,
 }
