@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ragstone.llm.common import slices
-from ragstone.llm.tokens import Encoder, default_path, pieces_of
+from ragstone.llm.tokens import Encoder, default_path, pieces_of, words_as_bytes
 
 #: Fixed value: the public byte-level pre-token pattern (public_tokenizers.PATTERN).
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -53,8 +53,8 @@ class BytePairCodec:
         self.strings |= {i: s.encode() for s, i in self.added.items()}
         self.pattern = regex.compile(PATTERN)
         self.at_added = regex.compile("(" + "|".join(map(regex.escape, sorted(self.added, key=len, reverse=True))) + ")") if self.added else None
-        self.words = Encoder(list, lambda words: [self.word(w) for w in words])
-        self.texts = Encoder(pieces_of, self._pieces)
+        self.words = Encoder(list, lambda words: [self.word(w) for w in words], 200_000)
+        self.texts = Encoder(pieces_of, self._pieces, 300_000)
 
     def word(self, word: str) -> bytes:
         """The ids of one pre-token."""
@@ -79,7 +79,7 @@ class BytePairCodec:
                 if (h := before[i]) >= 0 and (found := merges.get((symbols[h], new))):
                     heapq.heappush(queue, (found[0], h, symbols[h], new, found[1]))
             symbols = [s for s in symbols if s >= 0]
-        return np.array(symbols, dtype="<u4").tobytes()
+        return words_as_bytes(symbols)
 
     def _pieces(self, pieces: list[str]) -> list[bytes]:
         out = []
@@ -88,7 +88,7 @@ class BytePairCodec:
             ids = []
             for run in runs:
                 if run in self.added:
-                    ids.append(np.array([self.added[run]], dtype="<u4").tobytes())
+                    ids.append(words_as_bytes([self.added[run]]))
                 elif run:
                     ids += self.words.encode([self.pattern.findall(run)])
             out.append(b"".join(ids))

@@ -8,16 +8,20 @@ cut by a regular expression at just such places. Words are remembered in a bound
 
 from __future__ import annotations
 
+import array
 import re
+import string
+import sys
+import unicodedata
 from collections.abc import Callable
 from functools import lru_cache
 
-import numpy as np
-
 _CUT = re.compile(r"(?<=\S)(?=[ \n]\S)")
 _ODD = re.compile(r"\s\s")
+#: Letters that stay one letter in any normal form and case, so that what follows them never joins them.
+_PLAIN = frozenset(c for c in map(chr, range(0x3000)) if c.isalpha() and len(x := unicodedata.normalize("NFC", c).lower()) == 1 and x.isalpha())
 #: Words that each of a worker's two stores remembers; a full one becomes the older, and the older goes.
-MOST_WORDS = 300_000
+MOST_WORDS = 500_000
 
 
 def default_path(name: str) -> str:
@@ -31,18 +35,9 @@ def pieces_of(text: str) -> list[str]:
 
     Each piece begins with at most the one space or line end before its word.
     """
-    if _ODD.search(text):
+    if "\0" in text or _ODD.search(text):
         return _CUT.split(text)
-    first, *rest = text.split(" ")
-    pieces = [first, *[" " + x for x in rest]]
-    if "\n" in text:
-        pieces = [y for x in pieces for y in ((x,) if "\n" not in x else _at_line_ends(x))]
-    return pieces
-
-
-def _at_line_ends(piece: str) -> list[str]:
-    first, *rest = piece.split("\n")
-    return [first, *["\n" + x for x in rest]]
+    return text.replace(" ", "\0 ").replace("\n", "\0\n").split("\0")
 
 
 def bare_pieces_of(text: str) -> list[str]:
@@ -56,26 +51,55 @@ class Encoder:
     ``learn`` gets distinct pieces and returns the bytes of each.
     """
 
-    def __init__(self, cut: Callable[[str], list[str]], learn: Callable[[list[str]], list[bytes]]):
-        self.cut, self.learn = cut, learn
+    def __init__(self, cut: Callable[[str], list[str]], learn: Callable[[list[str]], list[bytes]], most: int = MOST_WORDS):
+        self.cut, self.learn, self.most = cut, learn, most
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
     def encode(self, texts: list[str]) -> list[bytes]:
         cut = [self.cut(t) for t in texts]
-        new = {p for pieces in cut for p in pieces if p not in self.young}
-        if len(self.young) + len(new) > MOST_WORDS:
+        new = set().union(*cut).difference(self.young)
+        if len(self.young) + len(new) > self.most:
             self.old, self.young = self.young, {}
             new = set().union(*cut)
-        kept = {p for p in new if p in self.old}
-        for p in kept:
-            self.young[p] = self.old[p]
-        new = list(new - kept)
-        self.young.update(zip(new, self.learn(new), strict=True))
+        self._learn(new)
         get = self.young.__getitem__
         return [b"".join(map(get, pieces)) for pieces in cut]
 
 
+    def _learn(self, pieces: set[str]) -> None:
+        """Remember ``pieces``; a word with punctuation after its last letter is put together from the two."""
+        young, old, new, joined = self.young, self.old, set(), []
+        for piece in pieces:
+            if piece in old:
+                young[piece] = old[piece]
+                continue
+            word = piece.rstrip(string.punctuation)
+            if len(word) == len(piece) or word[-1:] not in _PLAIN or "<|" in piece:
+                new.add(piece)
+                continue
+            tail = piece[len(word) :]
+            joined.append((piece, word, tail))
+            for x in (word, tail):
+                if x not in young:
+                    if x in old:
+                        young[x] = old[x]
+                    else:
+                        new.add(x)
+        new = list(new)
+        young.update(zip(new, self.learn(new), strict=True))
+        for piece, word, tail in joined:
+            young[piece] = young[word] + young[tail]
+
+
+def words_as_bytes(ids: list[int]) -> bytes:
+    """``ids`` as little-endian unsigned 32-bit integers."""
+    out = array.array("I", ids)
+    if sys.byteorder == "big":
+        out.byteswap()
+    return out.tobytes()
+
+
 def library_learner(path: str) -> Callable[[list[str]], list[bytes]]:
     """``learn`` by the tokenizers library, without special tokens, truncation and padding."""
     from tokenizers import Tokenizer
@@ -85,7 +109,7 @@ def library_learner(path: str) -> Callable[[list[str]], list[bytes]]:
     tokenizer.no_padding()
 
     def learn(pieces: list[str]) -> list[bytes]:
-        return [np.array(x.ids, dtype="<u4").tobytes() for x in tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
+        return [words_as_bytes(x.ids) for x in tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
 
     return learn
 
