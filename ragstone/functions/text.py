@@ -41,7 +41,14 @@ FIGURES = (
     r"\b[A-Z]{1,3}\d{2,4}[A-Z]?\b",
     r"\b\d[\d,]*(?:\.\d+)?\b",
 )
-UNRECOVERABLE = ("credit balance", "insufficient_quota", "invalid api key", "invalid_api_key", "authentication", "permission denied")
+UNRECOVERABLE = (
+    "credit balance", "insufficient_quota", "quota", "authentication", "invalid api key", "invalid x-api-key",
+    "permission", "not_found_error", "model not found", "no module named",
+)
+EMBEDDED = r"(?is)<(script|style)\b.*?</\1>"
+BLOCK_END = r"(?i)</(?:p|div|li|h[1-6]|tr|section|article)>"
+LINE_BREAK = r"(?i)<br\s*/?>"
+TAG = r"<[^>]+>"
 ID_PREFIX = "gov-uk/"
 
 
@@ -52,10 +59,9 @@ def strip(x: Column) -> Column:
 
 def strip_html(x: Column) -> Column:
     """Markup to text: scripts and styles go, block ends and breaks become line ends, other tags spaces. Entities stay."""
-    x = F.regexp_replace(x, r"(?is)<(script|style)\b[^>]*>.*?</\1\s*>", " ")
-    x = F.regexp_replace(x, r"(?i)</(?:p|div|li|h[1-6]|tr|section|article)\s*>", "\n")
-    x = F.regexp_replace(x, r"(?i)<br\s*/?>", "\n")
-    return F.regexp_replace(x, r"<[^>]+>", " ")
+    for pattern, instead in ((EMBEDDED, " "), (BLOCK_END, "\n"), (LINE_BREAK, "\n"), (TAG, " ")):
+        x = F.regexp_replace(x, pattern, instead)
+    return x
 
 
 def normalise_text(x: Column) -> Column:

@@ -8,12 +8,13 @@ from pyspark.sql import functions as F
 from ragstone.functions import similarity, text
 
 METRICS = ("faithfulness", "answer_relevancy", "context_precision", "answer_correctness")
-REFUSAL = "I don't know based on the provided context."
+#: Fixed value: the answer without a context.
+REFUSAL = "I don't have enough information in the provided guidance to answer that."
 
 
 def echo_answer(contexts: Column, n_sentences: int = 2, refusal: str = REFUSAL) -> Column:
     """The first sentences of the contexts, joined; ``refusal`` if all are blank."""
-    kept = F.filter(contexts, lambda c: text.strip(c) != "")
+    kept = F.filter(F.transform(contexts, text.strip), lambda c: c != "")
     return F.when(F.size(kept) == 0, refusal).otherwise(F.array_join(F.slice(text.loose_sentences(F.array_join(kept, " ")), 1, n_sentences), " "))
 
 

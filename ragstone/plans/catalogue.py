@@ -108,8 +108,8 @@ def experiment_winner(spark, sf_dir):
 # --- pages and chunks ----------------------------------------------------------------------------
 
 _HTML = r"""regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(html,
-    '(?is)<script\b[^>]*>.*?</script\s*>', ' ', 'g'), '(?is)<style\b[^>]*>.*?</style\s*>', ' ', 'g'),
-    '(?i)</(?:p|div|li|h[1-6]|tr|section|article)\s*>', chr(10), 'g'), '(?i)<br\s*/?>', chr(10), 'g'), '<[^>]+>', ' ', 'g')"""
+    '(?is)<script\b.*?</script>', ' ', 'g'), '(?is)<style\b.*?</style>', ' ', 'g'),
+    '(?i)</(?:p|div|li|h[1-6]|tr|section|article)>', chr(10), 'g'), '(?i)<br\s*/?>', chr(10), 'g'), '<[^>]+>', ' ', 'g')"""
 _BODY = rf"""{_strip(rf'''regexp_replace(array_to_string(list_transform(string_split(regexp_replace(regexp_replace({_HTML}, '\r\n?', chr(10), 'g'), '[ \t\r\f\x0B]+', ' ', 'g'), chr(10)), lambda l: {_strip("l")}), chr(10)), '\n{{3,}}', chr(10) || chr(10), 'g')''')}"""
 
 
@@ -256,9 +256,9 @@ def token_f1(spark, sf_dir):
 
 
 @query(f"""
-WITH {_SAMPLES}, e AS (SELECT *, CASE WHEN {_strip('passage')} = '' THEN {_strip('answer')} WHEN {_strip('answer')} = '' THEN passage ELSE passage || ' ' || answer END AS c FROM s)
-SELECT conv_id, turn, CASE WHEN {_strip('c')} = '' THEN 'I don''t know based on the provided context.'
-       ELSE array_to_string(string_split(regexp_replace({_strip('c')}, '([.!?])[\t-\r ]+', '\\1' || chr(1), 'g'), chr(1))[1:2], ' ') END AS answer FROM e
+WITH {_SAMPLES}, e AS (SELECT *, {_strip("(" + _strip('passage') + " || ' ' || " + _strip('answer') + ")")} AS c FROM s)
+SELECT conv_id, turn, CASE WHEN c = '' THEN 'I don''t have enough information in the provided guidance to answer that.'
+       ELSE array_to_string(string_split(regexp_replace(c, '([.!?])[\t-\r ]+', '\\1' || chr(1), 'g'), chr(1))[1:2], ' ') END AS answer FROM e
 """.replace("\\\\1", "\\1"))
 def echo_answers(spark, sf_dir):
     """Answers that repeat the first sentences of their contexts."""
