@@ -13,8 +13,9 @@ Answers by relation: every set is first compared with the pivots that it meets m
 to a pivot form its star. Of all other pairs only those count that meet in a list and are not yet in
 one component; they are answered star by star: with p, q the pivots,
 ``|a & b| <= |p & q| + |a - p| + |b - q|``, so one computed overlap of pivots answers for all pairs of
-their stars, and only pairs whose bound still allows a link are compared themselves. The result
-equals that of comparing all pairs.
+their stars, and only pairs whose bound still allows a link are compared themselves. Before any comparison
+bitmaps of the pivots, in which equal n-grams cancel, show how far the sets differ at least. The
+result equals that of comparing all pairs.
 
 Plan: n-grams are 64-bit hashes in packed arrays, dealt out by hash; lists of frequent n-grams are
 dealt out by set as well, so no list needs one task. Only texts of compared sets travel.
@@ -42,6 +43,8 @@ FREQUENT = 16
 MOST_FREQUENT = 1 << 20
 #: Only n-grams whose hash lies below this share of all are counted: prefixes are the lowest fifth or so.
 COUNTED = 0.5
+#: Bits of a set's bitmap; two bitmaps differ in at most as many bits as the sets in n-grams.
+BITS = 1024
 #: Pivots that a set is compared with at first.
 PIVOTS = 2
 #: n-grams or list entries that a task gathers before it deals them out.
@@ -67,21 +70,48 @@ def _word_hashes() -> _WordHashes:
     return _WordHashes()
 
 
-def shingles(text: str | None, size: int = WORDS) -> np.ndarray:
-    """The distinct n-grams of a text as ascending 64-bit hashes; a shorter text is one n-gram, none without words."""
-    words = (text or "").encode().lower().split()
-    if not words:
-        return np.zeros(0, np.uint64)
-    h = np.fromiter(map(_word_hashes().__getitem__, words), np.uint64, len(words))
-    n = max(len(words) - size + 1, 1)
-    out = np.full(n, min(len(words), size), np.uint64)
+def shingles_of(texts: list[str | None], size: int = WORDS) -> list[np.ndarray]:
+    """The distinct n-grams of each text as ascending 64-bit hashes; a shorter text is one n-gram, none without words.
+
+    The words of all texts stand in one array, so the mixing runs once for all of them.
+    """
+    split = [(t or "").encode().lower().split() for t in texts]
+    ends = np.cumsum([len(w) for w in split])
+    get = _word_hashes().__getitem__
+    h = np.fromiter((get(w) for words in split for w in words), np.uint64, int(ends[-1]) if len(ends) else 0)
     with np.errstate(over="ignore"):
-        for k in range(min(len(words), size)):
-            out = out * _STEP + h[k : k + n]
-        for shift in (31, 29):
-            out = (out ^ (out >> np.uint64(shift))) * np.uint64(0xD6E8FEB86659FD93)
-        out ^= out >> np.uint64(32)
-    return np.unique(out)
+        whole = np.full(max(len(h) - size + 1, 0), size, np.uint64)
+        for k in range(size):
+            whole = whole * _STEP + h[k : k + len(whole)]
+        whole = _mixed(whole)
+        out, start = [], 0
+        for end in ends.tolist():
+            if end - start >= size:
+                grams = np.sort(whole[start : end - size + 1])
+                new = np.ones(len(grams), bool)
+                np.not_equal(grams[1:], grams[:-1], out=new[1:])
+                out.append(grams if new.all() else grams[new])
+            elif end > start:
+                gram = np.array([end - start], np.uint64)
+                for k in range(start, end):
+                    gram = gram * _STEP + h[k : k + 1]
+                out.append(_mixed(gram))
+            else:
+                out.append(np.zeros(0, np.uint64))
+            start = end
+    return out
+
+
+def _mixed(x: np.ndarray) -> np.ndarray:
+    for shift in (31, 29):
+        x = (x ^ (x >> np.uint64(shift))) * np.uint64(0xD6E8FEB86659FD93)
+    return x ^ (x >> np.uint64(32))
+
+
+def bitmap(grams: np.ndarray) -> np.ndarray:
+    """BITS bits as signed 64-bit words; each n-gram flips one, so equal n-grams of two sets cancel."""
+    flips = np.bincount((grams >> np.uint64(20)) % np.uint64(BITS), minlength=BITS) & 1
+    return np.packbits(flips.astype(np.uint8)).view(np.int64)
 
 
 def set_id(grams: np.ndarray) -> bytes:
@@ -103,8 +133,7 @@ def _new_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[bytes, np.nda
     seen = set()
     for batch in batches:
         for part in slices(batch):
-            for text in part["text"].to_pylist():
-                grams = shingles(text)
+            for grams in shingles_of(part["text"].to_pylist()):
                 if len(grams) and (sid := set_id(grams)) not in seen:
                     if len(seen) < 1_000_000:
                         seen.add(sid)
@@ -112,15 +141,16 @@ def _new_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[bytes, np.nda
 
 
 def document_sets(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles and sid (null for the empty set) of every row."""
+    """doc_id, n_shingles, sid (null for the empty set) and bits (its bitmap) of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch):
-                sets = [shingles(t) for t in part["text"].to_pylist()]
-                yield pa.RecordBatch.from_pydict({"doc_id": part["doc_id"], "n_shingles": pa.array(map(len, sets), pa.int64()), "sid": pa.array([set_id(s) if len(s) else None for s in sets], pa.binary())})
+                sets = shingles_of(part["text"].to_pylist())
+                bits = pa.array([bitmap(s) for s in sets], pa.list_(pa.int64()))
+                yield pa.RecordBatch.from_pydict({"doc_id": part["doc_id"], "n_shingles": pa.array(map(len, sets), pa.int64()), "sid": pa.array([set_id(s) if len(s) else None for s in sets], pa.binary()), "bits": bits})
 
-    return docs.mapInArrow(run, "doc_id long, n_shingles long, sid binary")
+    return docs.mapInArrow(run, "doc_id long, n_shingles long, sid binary, bits array<long>")
 
 
 def _dealt(slot: np.ndarray, rows: np.ndarray) -> pa.RecordBatch:
@@ -242,7 +272,7 @@ def compared(pairs: DataFrame, docs: DataFrame, sets: DataFrame) -> DataFrame:
         for batch in batches:
             for part in slices(batch):
                 texts = part["text"].to_pylist()
-                sets_ = [shingles(t) for t in texts]
+                sets_ = shingles_of(texts)
                 yield pa.RecordBatch.from_pydict({"sid": pa.array([set_id(s) if len(s) else None for s in sets_], pa.binary()), "text": pa.array(texts, pa.string())})
 
     texts = rows.mapInArrow(with_id, "sid binary, text string").join(used, "sid", "left_semi")
@@ -254,16 +284,21 @@ def compared(pairs: DataFrame, docs: DataFrame, sets: DataFrame) -> DataFrame:
         for batch in batches:
             for part in slices(batch):
                 n = []
-                for sid, text_a, text_b in zip(part["b"].to_pylist(), part["text_a"].to_pylist(), part["text_b"].to_pylist(), strict=True):
+                for sid, grams, text_b in zip(part["b"].to_pylist(), shingles_of(part["text_a"].to_pylist()), part["text_b"].to_pylist(), strict=True):
                     if sid != last:
-                        last, last_set = sid, shingles(text_b)
-                    n.append(len(np.intersect1d(shingles(text_a), last_set, assume_unique=True)))
+                        last, last_set = sid, shingles_of([text_b])[0]
+                    n.append(len(np.intersect1d(grams, last_set, assume_unique=True)))
                 yield pa.RecordBatch.from_arrays([*[part[c] for c in ("a", "n_a", "b", "n_b")], pa.array(n, pa.int64())], names=["a", "n_a", "b", "n_b", "overlap"])
 
     both = pairs.join(texts.select(F.col("sid").alias("a"), F.col("text").alias("text_a")), "a").join(texts.select(F.col("sid").alias("b"), F.col("text").alias("text_b")), "b")
     return written(both.mapInArrow(overlaps, "a binary, n_a long, b binary, n_b long, overlap long"), "join-overlaps")
 
 
+def _differ(a, b):
+    """At least by so many n-grams two sets differ, by their bitmaps' words."""
+    return sum((F.bit_count(F.get(a, F.lit(k)).bitwiseXOR(F.get(b, F.lit(k)))) for k in range(BITS // 64)), F.lit(0))
+
+
 def _links(compared_pairs: DataFrame) -> DataFrame:
     return compared_pairs.filter(linked(F.col("overlap"), F.col("n_a"), F.col("n_b"))).select(F.col("a").alias("u"), F.col("b").alias("v"))
 
@@ -273,7 +308,12 @@ def linked_sets(spark: SparkSession, docs: DataFrame, sets: DataFrame) -> DataFr
     n_slots = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1 + sets.agg(F.coalesce(F.sum("n_shingles"), F.lit(0)).alias("n")).first()["n"] // 8_000_000)
     lists = written(index_lists(docs, frequent_grams(docs, n_slots), n_slots), "join-lists")
 
+    # Sets differ by 9 |a ^ b| <= |a| + |b| at most where they link.
+    bits = sets.filter("sid is not null").groupBy("sid").agg(F.first("bits").alias("bits"))
+    bits = written(bits.join(lists.select("sid").distinct(), "sid", "left_semi"), "join-bits")
     met = lists.filter("sid <> pivot").groupBy("sid", "pivot").agg(F.count(F.lit(1)).alias("times"), F.max("n").alias("n"), F.max("pivot_n").alias("pivot_n"))
+    of_pivot = bits.select(F.col("sid").alias("pivot"), F.col("bits").alias("pivot_bits"))
+    met = met.join(bits, "sid").join(of_pivot, "pivot").filter(9 * _differ(F.col("bits"), F.col("pivot_bits")) <= F.col("n") + F.col("pivot_n")).drop("bits", "pivot_bits")
     best = F.row_number().over(Window.partitionBy("sid").orderBy(F.desc("times"), "pivot"))
     first = met.withColumn("k", best).filter(F.col("k") <= PIVOTS)
     first = first.select(F.col("sid").alias("a"), F.col("n").alias("n_a"), F.col("pivot").alias("b"), F.col("pivot_n").alias("n_b"))
@@ -286,19 +326,24 @@ def linked_sets(spark: SparkSession, docs: DataFrame, sets: DataFrame) -> DataFr
     star = own.select(F.col("a").alias("sid"), F.col("s.b").alias("star"), F.col("s.n_b").alias("star_n"), F.col("s.overlap").alias("with_star"))
     info = lists.select("sid", "n").distinct().join(star, "sid", "left").join(parts.withColumnRenamed("node", "sid"), "sid", "left")
     info = info.select("sid", "n", F.coalesce("star", "sid").alias("star"), F.coalesce("star_n", "n").alias("star_n"), (F.col("n") - F.coalesce("with_star", "n")).alias("apart"), F.coalesce("component", "sid").alias("part"))
-    info = written(info, "join-stars")
-
-    placed = lists.select("token", "sid").join(info, "sid")
-    by_star = placed.groupBy("token", "part", "star").agg(F.max("star_n").alias("star_n"), F.min("n").alias("least"), F.max("n").alias("most"))
-    mixed = by_star.groupBy("token").agg(F.min("part").alias("x"), F.max("part").alias("y")).filter("x <> y").select("token")
-    by_star = written(by_star.join(mixed, "token", "left_semi"), "join-mixed")
-    side = lambda s: by_star.select("token", *[F.col(c).alias(f"{c}_{s}") for c in ("part", "star", "star_n", "least", "most")])
+    info = info.withColumn("off", F.col("apart") + F.col("star_n") - F.col("n") + F.col("apart"))  # |a ^ p|
+    info = written(info.join(bits.select(F.col("sid").alias("star"), F.col("bits").alias("star_bits")), "star"), "join-stars")
+
+    # Of lists that hold the same stars one is enough, and none that hold one component alone.
+    stars = info.groupBy("star").agg(F.first("part").alias("part"), F.first("star_n").alias("star_n"), F.min("n").alias("least"), F.max("n").alias("most"), F.max("off").alias("off"), F.first("star_bits").alias("star_bits"))
+    placed = written(lists.select("token", "sid").join(info.select("sid", "star", "part"), "sid").groupBy("token", "star").agg(F.first("part").alias("part")), "join-placed")
+    content = [F.count(F.lit(1)).alias("size"), F.bit_xor(F.xxhash64("star", F.lit(1))).alias("h"), F.bit_xor(F.xxhash64(F.lit(2), "star")).alias("g")]
+    mixed = placed.groupBy("token").agg(F.min("part").alias("x"), F.max("part").alias("y"), *content).filter("x <> y").groupBy("size", "h", "g").agg(F.min("token").alias("token")).select("token")
+    by_star = written(placed.select("token", "star").join(mixed, "token", "left_semi").join(stars, "star"), "join-mixed")
+    side = lambda s: by_star.select("token", *[F.col(c).alias(f"{c}_{s}") for c in ("part", "star", "star_n", "least", "most", "off", "star_bits")])
     reach = (F.col("part_a") < F.col("part_b")) & (5 * F.col("most_b") >= 4 * F.col("least_a")) & (5 * F.col("most_a") >= 4 * F.col("least_b"))
+    reach &= 9 * (_differ(F.col("star_bits_a"), F.col("star_bits_b")) - F.col("off_a") - F.col("off_b")) <= F.col("most_a") + F.col("most_b")
     centres = side("a").join(side("b"), "token").filter(reach).select(F.col("star_a").alias("a"), F.col("star_n_a").alias("n_a"), F.col("star_b").alias("b"), F.col("star_n_b").alias("n_b")).distinct()
     answers = compared(centres, docs, sets)
     known = known.union(_links(answers))
 
     # Star by star: what one overlap leaves open.
+    info = info.drop("star_bits", "off")
     spans = info.groupBy("star").agg(F.max("apart").alias("apart"), F.min("n").alias("least"), F.max(F.col("sid") != F.col("star")).alias("others"))
     span = lambda s: spans.select(F.col("star").alias(s), *[F.col(c).alias(f"{c}_{s}") for c in ("apart", "least", "others")])
     still = answers.join(span("a"), "a").join(span("b"), "b").filter("others_a or others_b").filter(linked(F.col("overlap") + F.col("apart_a") + F.col("apart_b"), F.col("least_a"), F.col("least_b")))
@@ -321,7 +366,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     sets = written(document_sets(docs), "join-sets")
     parts = written(linked_sets(docs.sparkSession, docs, sets).withColumnRenamed("node", "sid"), "join-components")
-    rows = lookup_join(sets, parts, ["sid"], salt=F.xxhash64("doc_id"))
+    rows = lookup_join(sets.drop("bits"), parts, ["sid"], salt=F.xxhash64("doc_id"))
     rows = rows.withColumn("part", F.coalesce("component", "sid"))
     groups = rows.filter("part is not null").groupBy("part").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
     rows = lookup_join(rows.select("doc_id", "n_shingles", "part"), written(groups, "join-groups"), ["part"], salt=F.xxhash64("doc_id"))
