@@ -26,6 +26,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -59,7 +60,7 @@ class _WordHashes(dict):
     """Hashes of words, remembered up to a bound."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 300_000:
+        if len(self) > 800_000:
             self.clear()
         self[word] = h = xxhash.xxh64_intdigest(word)
         return h
@@ -78,7 +79,7 @@ def shingles_of(texts: list[str | None], size: int = WORDS) -> list[np.ndarray]:
     split = [(t or "").encode().lower().split() for t in texts]
     ends = np.cumsum([len(w) for w in split])
     get = _word_hashes().__getitem__
-    h = np.fromiter((get(w) for words in split for w in words), np.uint64, int(ends[-1]) if len(ends) else 0)
+    h = np.fromiter(map(get, chain.from_iterable(split)), np.uint64, int(ends[-1]) if len(ends) else 0)
     with np.errstate(over="ignore"):
         whole = np.full(max(len(h) - size + 1, 0), size, np.uint64)
         for k in range(size):
