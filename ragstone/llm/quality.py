@@ -5,8 +5,11 @@ over log-linear buckets (exact below 16, then 16 buckets per power of two, so a
 at most 1/16 of itself). They merge by adding counts: partial aggregation shrinks every task's rows
 to a few hundred buckets before the shuffle, a hot source included, and the result does not depend
 on the order of merging. From each sketch an upper fence is taken, third quartile plus the larger of
-three quartile ranges and a margin; documents above a fence of their own group are rejected. The
-fences come back by a join: broadcast after a count, salted if they are many.
+three quartile ranges and a margin; documents above a fence of their own group are rejected. Sketches
+also merge upwards, source to lang to all. The wider fence bounds that of a small group, and that of
+a group whose median lies within it: the bulk of such a group is like the others, however much junk
+its upper quarter holds. A large group whose median lies beyond is another kind of text and keeps its
+own fence. The fences come back by a join: broadcast after a count, salted if they are many.
 """
 
 from __future__ import annotations
@@ -23,6 +26,8 @@ SYMBOLS = "#*$%&|<>"
 #: symbols, repeats: per thousand words; dup_lines: per thousand words lines.
 MARGINS = {"word_length": 250, "symbols": 300, "dup_lines": 450, "repeats": 300}
 SPREADS = 3
+#: A group with fewer documents than this has too few above its third quartile to set a fence alone.
+LEAST_GROUP = 40
 LEAST_WORDS = 50
 
 
@@ -87,15 +92,37 @@ def sketches(rows: DataFrame) -> DataFrame:
     return rows.filter(~base_failed()).select("lang", "source", each.alias("m")).groupBy("lang", "source", "m.measure", "m.bucket").agg(F.count(F.lit(1)).alias("n"))
 
 
-def fences(counts: DataFrame) -> DataFrame:
-    """lang, source, and the upper fence of each measure, from merged sketches."""
-    group = Window.partitionBy("lang", "source", "measure")
-    rows = counts.withColumns({"upto": F.sum("n").over(group.orderBy("bucket")), "all": F.sum("n").over(group)})
+def _quartiles(counts: DataFrame, keys: list[str]) -> DataFrame:
+    """keys, measure, n, median and fence of the sketches merged by ``keys``."""
+    group = Window.partitionBy(*keys, "measure")
+    rows = counts.groupBy(*keys, "measure", "bucket").agg(F.sum("n").alias("n"))
+    rows = rows.withColumns({"upto": F.sum("n").over(group.orderBy("bucket")), "all": F.sum("n").over(group)})
     quartile = lambda q: F.min(F.when(F.col("upto") * 4 >= F.col("all") * q, bucket_floor(F.col("bucket"))))
-    per = rows.groupBy("lang", "source", "measure").agg(quartile(1).alias("q1"), quartile(3).alias("q3"))
+    per = rows.groupBy(*keys, "measure").agg(F.max("all").alias("n"), quartile(1).alias("q1"), quartile(2).alias("median"), quartile(3).alias("q3"))
     margin = F.create_map(*[F.lit(x) for kv in MARGINS.items() for x in kv])
     fence = F.col("q3") + F.greatest(SPREADS * (F.col("q3") - F.col("q1")), margin[F.col("measure")])
-    return per.withColumn("fence", fence).groupBy("lang", "source").agg(*[F.max(F.when(F.col("measure") == k, F.col("fence"))).alias(f"max_{k}") for k in MARGINS])
+    return per.select(*keys, "measure", "n", "median", fence.alias("fence"))
+
+
+def _bounded(own: DataFrame, wide: DataFrame, keys: list[str]) -> DataFrame:
+    """``own`` with its fences bounded by those of the ``wide`` groups, which ``keys`` name.
+
+    Small groups: by the wide fence as it is. Others, if their median lies within it: by the wide
+    fence, moved up as far as their median lies above the wide one.
+    """
+    wide = written(wide.select(*keys, F.col("median").alias("wide_median"), F.col("fence").alias("wide_fence")), "quality-wide")
+    rows = lookup_join(own, wide, keys)
+    moved = F.col("wide_fence") + F.greatest(F.col("median") - F.col("wide_median"), F.lit(0))
+    bound = F.when(F.col("n") < LEAST_GROUP, F.col("wide_fence")).when(F.col("median") <= F.col("wide_fence"), moved)
+    return rows.withColumn("fence", F.least("fence", bound)).drop("wide_median", "wide_fence")
+
+
+def fences(counts: DataFrame) -> DataFrame:
+    """lang, source, and the upper fence of each measure, from merged sketches."""
+    counts = written(counts, "quality-sketches")
+    langs = _bounded(_quartiles(counts, ["lang"]), _quartiles(counts, []), ["measure"])
+    per = _bounded(_quartiles(counts, ["lang", "source"]), langs, ["lang", "measure"])
+    return per.groupBy("lang", "source").agg(*[F.max(F.when(F.col("measure") == k, F.col("fence"))).alias(f"max_{k}") for k in MARGINS])
 
 
 def judged(docs: DataFrame, *carry: Column) -> DataFrame:

@@ -48,6 +48,21 @@ def test_quality_buckets_and_outliers(spark):
     assert not got.pop(99) and all(got.values())
 
 
+def test_quality_of_small_and_junk_groups(spark):
+    """A group of one row, one that is 40% junk, and a large one of another kind, beside a common one."""
+    rng = random.Random(1)
+    word = lambda end="": rng.choice("alpha beta gamma delta epsilon zeta".split()) + str(rng.randint(0, 999)) + end
+    texts = lambda n, end="": [" ".join(word(end) for _ in range(80)) for _ in range(n)]
+    rows = [(t, "en", "common", True) for t in texts(200)]
+    rows += [(t, "en", "alone", False) for t in texts(1, "%%%")] + [(t, "de", "alone", False) for t in texts(1, "%%%")] + [(t, "fr", "alone", True) for t in texts(1)]
+    rows += [(t, "en", "mixed", True) for t in texts(36)] + [(t, "en", "mixed", False) for t in texts(24, "%%%")]
+    rows += [(t, "en", "code", True) for t in texts(50, "%")]
+    rows += [(t, None, None, False) for t in texts(2, "%%%")]
+    docs = spark.createDataFrame([(i, *r[:3]) for i, r in enumerate(rows)], "doc_id long, text string, lang string, source string")
+    got = {r.doc_id: r.kept for r in quality.quality_verdicts(docs).collect()}
+    assert {i: r[3] for i, r in enumerate(rows)} == got
+
+
 def test_balanced_tree_and_best_fit():
     rng, tree, held = random.Random(0), sharding.BalancedTree(), set()
     for _ in range(3000):
