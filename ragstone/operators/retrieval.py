@@ -16,12 +16,12 @@ from ragstone.functions import text
 QUERY_BLOCK = 1024
 
 
-def dense_topk(queries: DataFrame, index: DataFrame, k: int = 10, normalise: bool = True) -> DataFrame:
+def dense_topk(queries: DataFrame, index: DataFrame, k: int = 10, normalise: bool = True, others: bool = False) -> DataFrame:
     """qid, id, score (6 decimals), rank of the ``k`` best rows of ``index`` (id, embedding) per query (qid, embedding).
 
     Blocks of at most QUERY_BLOCK query vectors travel to the index, which is never shuffled: each
     task multiplies its batches by the block and passes on its own best ``k`` per query. Order: score,
-    then id. A zero vector scores 0.
+    then id. A zero vector scores 0. ``others``: rows with the query's own id do not count.
     """
     out = "qid long, id long, score double"
     qs = queries.select(F.col("qid").cast("long"), "embedding").orderBy("qid").collect()
@@ -39,9 +39,12 @@ def dense_topk(queries: DataFrame, index: DataFrame, k: int = 10, normalise: boo
                     vectors = unit(np.array(batch["embedding"].flatten()).astype("f8").reshape(batch.num_rows, -1))
                     ids = np.concatenate([best_id, np.broadcast_to(np.array(batch["id"]), (len(qids), batch.num_rows))], axis=1)
                     scores = np.concatenate([best, np.round(matrix @ vectors.T, 6) + 0.0], axis=1)
+                    if others:
+                        scores[ids == qids[:, None]] = -np.inf
                     order = np.lexsort((ids, -scores), axis=1)[:, :k]
                     best_id, best = np.take_along_axis(ids, order, 1), np.take_along_axis(scores, order, 1)
-            yield pa.RecordBatch.from_pydict({"qid": np.repeat(qids, best.shape[1]), "id": best_id.ravel(), "score": best.ravel()})
+            keep = best.ravel() != -np.inf
+            yield pa.RecordBatch.from_pydict({"qid": np.repeat(qids, best.shape[1])[keep], "id": best_id.ravel()[keep], "score": best.ravel()[keep]})
 
         part = index.mapInArrow(search, out)
         found = part if found is None else found.union(part)
@@ -87,16 +90,19 @@ def sparse_topk(queries: DataFrame, index: DataFrame, k: int = 10) -> DataFrame:
     return ranked(scores, k)
 
 
-def question_metrics(ranking: DataFrame, relevant: DataFrame, served: int = 5, depth: int = 10) -> DataFrame:
+def question_metrics(ranking: DataFrame, relevant: DataFrame, served: int = 5, depth: int = 10, totals: DataFrame | None = None) -> DataFrame:
     """Per question of ``relevant`` (qid, id): hit_at_5, reciprocal_rank, recall_at_10, served_recall, first_relevant_rank.
 
     ``ranking``: qid, id, rank. Repeated relevant ids count once; a question without a hit has zeros
-    and a null rank.
+    and a null rank. With ``totals`` (qid, n: how many are relevant) it is per question of these, and
+    ``relevant`` needs to hold only ids of the ranking.
     """
     wanted = relevant.select("qid", "id").distinct()
     hits = wanted.join(ranking.select("qid", "id", "rank"), ["qid", "id"], "left")
     within = lambda k: F.count(F.when(F.col("rank") <= k, 1))
     n = F.count(F.lit(1))
+    if totals is not None:
+        hits, n = totals.join(hits, "qid", "left"), F.max("n")
     return hits.groupBy("qid").agg(
         F.when(within(5) > 0, 1.0).otherwise(0.0).alias("hit_at_5"),
         F.coalesce(1.0 / F.min("rank"), F.lit(0.0)).alias("reciprocal_rank"),

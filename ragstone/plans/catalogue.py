@@ -47,15 +47,19 @@ r AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY scor
 
 
 def _ranking(spark: SparkSession, sf_dir: str, k: int = 10) -> DataFrame:
+    """Every 50th vector against all others."""
     rows = table(spark, sf_dir, "embeddings")
-    queries = rows.filter("vec_id < 50").select(F.col("vec_id").alias("qid"), "embedding")
-    return retrieval.dense_topk(queries, rows.filter("vec_id >= 50").select(F.col("vec_id").alias("id"), "embedding"), k)
+    queries = rows.filter("vec_id % 50 = 0").select(F.col("vec_id").alias("qid"), "embedding")
+    return retrieval.dense_topk(queries, rows.select(F.col("vec_id").alias("id"), "embedding"), k, others=True)
 
 
-def _relevant(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "embeddings").select("vec_id", "label")
-    queries = rows.filter("vec_id < 50").select(F.col("vec_id").alias("qid"), "label")
-    return rows.filter("vec_id >= 50").join(F.broadcast(queries), "label").select("qid", F.col("vec_id").alias("id"))
+def _question_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Relevant to a query are all other vectors of its label; only those in the ranking are paired with it."""
+    ranking, rows = _ranking(spark, sf_dir), table(spark, sf_dir, "embeddings").select("vec_id", "label")
+    queries = rows.filter("vec_id % 50 = 0").select(F.col("vec_id").alias("qid"), "label")
+    totals = queries.join(rows.groupBy("label").agg((F.count_distinct("vec_id") - 1).alias("n")), "label").filter("n > 0").select("qid", "n")
+    found = ranking.select("qid", "id").join(rows.withColumnRenamed("vec_id", "id"), "id").join(queries, ["qid", "label"]).select("qid", "id")
+    return retrieval.question_metrics(ranking, found, totals=totals)
 
 
 @query(f"WITH {_RANKED} SELECT qid, id, score, CAST(rank AS INTEGER) AS rank FROM r")
@@ -74,7 +78,7 @@ SELECT round(coalesce(avg(CASE WHEN k5 > 0 THEN 1.0::DOUBLE ELSE 0.0 END), 0), 9
 def retrieval_eval(spark, sf_dir):
     """Hit, reciprocal rank and recall of vector retrieval, averaged over the questions."""
     names = ["hit_at_5", "reciprocal_rank", "recall_at_10", "served_recall"]
-    means = retrieval.suite_means(retrieval.question_metrics(_ranking(spark, sf_dir), _relevant(spark, sf_dir)), names)
+    means = retrieval.suite_means(_question_metrics(spark, sf_dir), names)
     return means.select(*[F.round(n, 9).alias(n) for n in names], "n_questions")
 
 
@@ -98,8 +102,7 @@ SELECT name, value, row_number() OVER (ORDER BY value DESC, name) = 1 AS won FRO
 """)
 def experiment_winner(spark, sf_dir):
     """Hit rates of several depths over one ranking, and the best."""
-    ranking, relevant = _ranking(spark, sf_dir), _relevant(spark, sf_dir)
-    first = retrieval.question_metrics(ranking, relevant).select("qid", "first_relevant_rank")
+    first = _question_metrics(spark, sf_dir).select("qid", "first_relevant_rank")
     depths = F.explode(F.array(*[F.struct(F.lit(f"top_{k:02d}").alias("name"), F.lit(k).alias("k")) for k in (1, 3, 5, 10)]))
     hits = first.select("qid", "first_relevant_rank", depths.alias("c")).select("c.name", F.when(F.col("first_relevant_rank") <= F.col("c.k"), 1.0).otherwise(0.0).alias("hit"))
     return gate.winner(hits.groupBy("name").agg(F.round(F.avg("hit"), 9).alias("value")))
