@@ -450,7 +450,7 @@ SELECT printf('q_%04d', CAST(number AS BIGINT)) AS id, question, 'v2' AS added_i
 """)
 def promote_ids(spark, sf_dir):
     """New questions with ids that go on from the golden set's."""
-    docs = table(spark, sf_dir, "documents").filter("text is not null").select("doc_id", F.left("text", F.lit(60)).alias("question"))
+    docs = table(spark, sf_dir, "documents").filter("text is not null").select("doc_id", F.col("text").alias("question"))
     known = docs.filter("doc_id % 10 = 0").select(F.format_string("q_%04d", F.col("doc_id").cast("int")).alias("id"), "question")
     drafted = docs.select(F.col("doc_id").alias("pos"), "question", F.lit("").alias("ground_truth"), F.array(F.lit("s")).alias("source_ids"), F.lit("single_hop").alias("difficulty"), F.lit("approved").alias("status"))
     return golden.promote(drafted, known, "v2").select("id", "question", "added_in")
