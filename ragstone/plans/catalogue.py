@@ -305,10 +305,11 @@ def source_support(spark, sf_dir):
 
 
 def _snapshots(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Each page is in at least one of the two: what the old one lacks is in the new one."""
     pages = table(spark, sf_dir, "pages").select("page_id", F.col("url").alias("base_path"), F.sha2("html", 256).alias("h"))
     pages = pages.groupBy("base_path").agg(F.min("page_id").alias("page_id"), F.min_by("h", "page_id").alias("h"))
     old = pages.filter("page_id % 7 <> 0").select("base_path", F.col("h").alias("content_hash"), F.concat(F.lit("old-"), F.col("page_id").cast("string")).alias("fetched_at"))
-    new = pages.filter("page_id % 5 <> 0").select("base_path", F.when(F.col("page_id") % 3 == 0, F.reverse("h")).otherwise(F.col("h")).alias("content_hash"), F.lit("new").alias("fetched_at"))
+    new = pages.filter("page_id % 5 <> 0 or page_id % 7 = 0").select("base_path", F.when(F.col("page_id") % 3 == 0, F.reverse("h")).otherwise(F.col("h")).alias("content_hash"), F.lit("new").alias("fetched_at"))
     return old, new
 
 
