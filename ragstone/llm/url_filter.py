@@ -15,6 +15,8 @@ from ragstone.llm.components import components
 
 #: (host, path, verdict)
 RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"), ("net", "/es/", "block"), ("net", "/fr/", "block")]
+#: A link tag with canonical among the tokens of its rel, or a meta tag that refreshes.
+_LINKS = r"""(?i)(?<![\w-])rel\s*=\s*(?:"(?:[^"]*\s)?canonical(?:\s[^"]*)?"|'(?:[^']*\s)?canonical(?:\s[^']*)?'|canonical(?![^\s/>]))|http-equiv\s*=\s*["']?refresh\b"""
 #: Up to this many rules are one conditional expression; more are joined by host suffix.
 INLINE_RULES = 200
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -63,8 +65,8 @@ def link_edges(pages: DataFrame) -> DataFrame:
     Absolute, scheme-relative, root-relative and plain relative targets are understood.
     """
     html, url = F.col("html"), F.col("url")
-    tags = F.filter(F.regexp_extract_all(html, F.lit(r"(?is)<(?:link|meta)\b[^>]*>"), 0), lambda t: t.rlike(r"""(?i)(rel\s*=\s*["']?canonical\b|http-equiv\s*=\s*["']?refresh\b)"""))
-    target = lambda t: F.when(t.rlike("(?i)^<link"), F.regexp_extract(t, r"""(?i)\bhref\s*=\s*["']?([^"'\s>]+)""", 1)).otherwise(F.regexp_extract(t, r"""(?i)\burl\s*=\s*([^"'\s>]+)""", 1))
+    tags = F.filter(F.regexp_extract_all(html, F.lit(r"(?is)<(?:link|meta)\b[^>]*>"), 0), lambda t: t.rlike(_LINKS))
+    target = lambda t: F.when(t.rlike("(?i)^<link"), F.regexp_extract(t, r"""(?i)\bhref\s*=\s*["']?([^"'\s>]+)""", 1)).otherwise(F.regexp_extract(t, r"""(?i)\burl\s*=\s*["']?([^"'\s>]+)""", 1))
     rows = pages.filter(html.rlike("(?i)(canonical|refresh)") & url.contains("://")).select(url.alias("url"), F.explode(F.transform(tags, target)).alias("to")).filter("to <> ''")
     scheme, site = F.regexp_extract("url", _SPLIT, 1), F.regexp_extract("url", r"(?s)^(.*?://[^/?#]*)", 1)
     folder = F.regexp_replace(path_of(F.col("url")), "[^/]*$", "")

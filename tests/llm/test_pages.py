@@ -110,6 +110,22 @@ def test_url_filter(spark):
     assert url_filter.judge_urls(spark.createDataFrame([], PAGES)).count() == 0
 
 
+def test_link_edges_of_quoted_targets_and_rel_tokens(spark):
+    to = "https://b.net/es/1"
+    tags = [
+        f"""<meta http-equiv="refresh" content="0; url='{to}'">""",
+        f"""<meta http-equiv=refresh content='0; URL = "{to}"'>""",
+        f'<link rel="alternate canonical" href="{to}">',
+        f"<link rel='canonical\tnofollow' href='{to}'>",
+        f'<link href="{to}" rel=CANONICAL>',
+        f'<link rel=canonical href="{to}"/>',
+    ]
+    others = [f'<link rel="not-canonical" href="{to}">', f'<link data-rel="canonical" rel="icon" href="{to}">', f'<link rel="canonical-old" href="{to}">']
+    pages = spark.createDataFrame([(i, f"https://a.test/{i}", x, None) for i, x in enumerate(tags + others)], PAGES)
+    assert {r.u: r.v for r in url_filter.link_edges(pages).collect()} == {f"https://a.test/{i}": to for i in range(len(tags))}
+    assert {r.page_id for r in url_filter.judge_urls(pages).filter("verdict = 'block'").collect()} == set(range(len(tags)))
+
+
 def test_multi_index_finds_all_within_the_radius():
     rng = np.random.default_rng(0)
     codes = rng.integers(0, 1 << 16, size=(2000, 3), dtype=np.uint16)
