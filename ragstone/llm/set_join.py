@@ -260,7 +260,8 @@ def index_lists(docs: DataFrame, frequent: np.ndarray, n_slots: int) -> DataFram
 def compared(pairs: DataFrame, docs: DataFrame, sets: DataFrame) -> DataFrame:
     """``pairs`` (a, n_a, b, n_b, each pair once) with the overlap of the two sets.
 
-    Only the texts of one document per set travel: the one with the least doc_id.
+    Only the texts of one document per set travel: the one with the least doc_id. Rows without a
+    doc_id are all looked through if a set has no other.
     """
     pairs = written(pairs, "join-pairs")
     used = pairs.select(F.col("a").alias("sid")).union(pairs.select("b")).distinct()
@@ -268,6 +269,8 @@ def compared(pairs: DataFrame, docs: DataFrame, sets: DataFrame) -> DataFrame:
     wanted = written(of_set.select("doc_id").distinct(), "join-wanted")
     few = wanted.count() <= ID_ROWS
     rows = docs.join(F.broadcast(wanted) if few else wanted, "doc_id", "left_semi")
+    if not wanted.filter("doc_id is null").isEmpty():
+        rows = rows.union(docs.filter("doc_id is null").select(*rows.columns))
 
     def with_id(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

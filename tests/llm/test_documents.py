@@ -211,6 +211,15 @@ def test_jaccard_join_of_odd_rows(odd_docs, no_docs):
     assert set_join.near_duplicates(no_docs).count() == 0 and set_join.keep_one(no_docs).count() == 0
 
 
+def test_jaccard_join_links_through_rows_without_an_id(spark):
+    """A and B link only to a set that null-id rows alone have."""
+    words = [f"w{i}" for i in range(100)]
+    changed = lambda *at: " ".join("x" + w if i in at else w for i, w in enumerate(words))
+    docs = [(1, changed(10, 20)), (None, changed()), (2, changed(50, 80)), (None, "quite another text without an id"), (3, "and one with an id of its own")]
+    rows = set_join.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert sorted((r.doc_id or 0, r.component_id or 0) for r in rows) == [(0, 0), (0, 1), (1, 1), (2, 1), (3, 3)]
+
+
 def test_oracles_run():
     from ragstone.llm.catalogue import ORACLE_SQL
 
