@@ -32,7 +32,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ragstone.llm.common import lookup_join, slices, written
@@ -141,17 +141,22 @@ def _new_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[bytes, np.nda
                     yield sid, grams
 
 
+def text_id() -> Column:
+    """16 bytes that stand for the column text as it is."""
+    return F.unhex(F.md5(F.coalesce(F.col("text"), F.lit("")).cast("binary")))
+
+
 def document_sets(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, sid (null for the empty set) and bits (its bitmap) of every row."""
+    """doc_id, n_shingles, sid (null for the empty set), bits (its bitmap) and text_id of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch):
                 sets = shingles_of(part["text"].to_pylist())
                 bits = pa.array([bitmap(s) for s in sets], pa.list_(pa.int64()))
-                yield pa.RecordBatch.from_pydict({"doc_id": part["doc_id"], "n_shingles": pa.array(map(len, sets), pa.int64()), "sid": pa.array([set_id(s) if len(s) else None for s in sets], pa.binary()), "bits": bits})
+                yield pa.RecordBatch.from_pydict({"doc_id": part["doc_id"], "text_id": part["text_id"], "n_shingles": pa.array(map(len, sets), pa.int64()), "sid": pa.array([set_id(s) if len(s) else None for s in sets], pa.binary()), "bits": bits})
 
-    return docs.mapInArrow(run, "doc_id long, n_shingles long, sid binary, bits array<long>")
+    return docs.select("doc_id", "text", text_id().alias("text_id")).mapInArrow(run, "doc_id long, text_id binary, n_shingles long, sid binary, bits array<long>")
 
 
 def _dealt(slot: np.ndarray, rows: np.ndarray) -> pa.RecordBatch:
@@ -360,6 +365,18 @@ def linked_sets(spark: SparkSession, docs: DataFrame, sets: DataFrame) -> DataFr
     return components(known.union(_links(compared(rest, docs, sets))))
 
 
+def _found(docs: DataFrame) -> DataFrame:
+    """doc_id, n_shingles, component_id, part (of a component's sets; null for the empty set) and text_id of every row."""
+    ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    sets = written(document_sets(ids), "join-sets")
+    parts = written(linked_sets(docs.sparkSession, ids, sets).withColumnRenamed("node", "sid"), "join-components")
+    rows = lookup_join(sets.drop("bits"), parts, ["sid"], salt=F.xxhash64("doc_id"))
+    rows = rows.withColumn("part", F.coalesce("component", "sid"))
+    groups = rows.filter("part is not null").groupBy("part").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
+    rows = lookup_join(rows.select("doc_id", "n_shingles", "part", "text_id"), written(groups, "join-groups"), ["part"], salt=F.xxhash64("doc_id"))
+    return rows.select("doc_id", "n_shingles", F.coalesce("least", "doc_id").alias("component_id"), "part", "text_id")
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id of every row of ``docs``.
 
@@ -367,26 +384,31 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     empty set and stand alone. Repeated rows get a row each, with equal results; a null doc_id never
     names a component of others. An empty table gives an empty result. Only doc_id and text are read.
     """
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    sets = written(document_sets(docs), "join-sets")
-    parts = written(linked_sets(docs.sparkSession, docs, sets).withColumnRenamed("node", "sid"), "join-components")
-    rows = lookup_join(sets.drop("bits"), parts, ["sid"], salt=F.xxhash64("doc_id"))
-    rows = rows.withColumn("part", F.coalesce("component", "sid"))
-    groups = rows.filter("part is not null").groupBy("part").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
-    rows = lookup_join(rows.select("doc_id", "n_shingles", "part"), written(groups, "join-groups"), ["part"], salt=F.xxhash64("doc_id"))
-    return rows.select("doc_id", "n_shingles", F.coalesce("least", "doc_id").alias("component_id"))
+    return _found(docs).select("doc_id", "n_shingles", "component_id")
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` with one document of each component: that with the smallest doc_id. All columns stay.
 
-    Rows that repeat a kept doc_id and text are taken once.
+    Rows that repeat a kept doc_id and text are taken once. A doc_id with several texts is decided for
+    each text by itself; if a component's smallest doc_id has several texts in it, one of them stays.
+    A row without a doc_id stays only if no row of its component has one, and then one of these does.
+    Texts without words all stay.
     """
-    found = written(near_duplicates(docs), "join-result")
-    gone = written(found.filter("doc_id <> component_id").select("doc_id").distinct(), "join-gone")
+    found = written(_found(docs), "join-result")
+    # Ids of one row are decided by the id alone; the others, and rows without one, by id and text.
+    twice = written(found.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").select("doc_id"), "join-twice")
+    gone = found.filter("doc_id <> component_id").select("doc_id").distinct()
+    gone = written(gone.union(twice).distinct(), "join-gone")
     few = gone.count() <= ID_ROWS
-    kept = docs.join(F.broadcast(gone) if few else gone, "doc_id", "left_anti")
-    twice = written(found.filter("n_shingles > 0").groupBy("doc_id").count().filter("count > 1").select("doc_id"), "join-twice")
-    if twice.isEmpty():
+    kept = docs.filter("doc_id is not null").join(F.broadcast(gone) if few else gone, "doc_id", "left_anti").select(*docs.columns)
+    if twice.isEmpty() and found.filter("doc_id is null").isEmpty():
         return kept
-    return kept.join(twice, "doc_id", "left_anti").unionByName(kept.join(twice, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])).select(*docs.columns)
+    first = found.filter("part is not null").groupBy("part").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_id")).alias("s"))
+    stay = first.select("s.doc_id", "s.text_id", F.lit(True).alias("__once"))
+    stay = stay.union(found.filter("part is null").select("doc_id", "text_id", F.lit(False)).distinct())
+    odd = lambda rows: rows.filter("doc_id is null").unionByName(rows.join(twice, "doc_id", "left_semi").select(*rows.columns))
+    stay = written(odd(stay), "join-stay")
+    rows = odd(docs).withColumns({"__id": F.col("doc_id").cast("long"), "__text_id": text_id()})
+    rows = lookup_join(rows, stay.withColumnsRenamed({"doc_id": "__id", "text_id": "__text_id"}), ["__id", "__text_id"], how="inner", salt=F.xxhash64("__text_id"))
+    return kept.union(rows.filter("__once").dropDuplicates(["__id", "__text_id"]).select(*docs.columns)).union(rows.filter("not __once").select(*docs.columns))

@@ -220,6 +220,20 @@ def test_jaccard_join_links_through_rows_without_an_id(spark):
     assert sorted((r.doc_id or 0, r.component_id or 0) for r in rows) == [(0, 0), (0, 1), (1, 1), (2, 1), (3, 3)]
 
 
+def test_keep_one_decides_rows_not_ids(spark):
+    words = lambda k: [f"{k}{i}" for i in range(60)]
+    text, near = lambda k: " ".join(words(k)), lambda k: " ".join(["new", *words(k)[1:]])
+    rows = [
+        (1, text("a")), (5, near("a")), (5, text("b")),  # 5 has a near copy of 1 and a text of its own
+        (None, text("a")), (None, text("c")), (None, text("c")), (None, near("c")),  # copies of 1; a component without ids
+        (7, text("d")), (7, near("d")), (8, text("d")),  # the smallest id has two texts of one component
+        (9, text("e")), (9, text("e")), (None, text("f")), (None, None), (None, ""), (10, text("g")), (11, near("g")),
+    ]
+    kept = [(r.doc_id, r.text) for r in set_join.keep_one(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()]
+    part = lambda r: (r[0], (r[1] or "").split(" ")[-1][:1])
+    assert sorted(map(part, kept), key=str) == sorted([(1, "a"), (5, "b"), (None, "c"), (7, "d"), (9, "e"), (None, "f"), (None, ""), (None, ""), (10, "g")], key=str)
+
+
 def test_oracles_run():
     from ragstone.llm.catalogue import ORACLE_SQL
 
