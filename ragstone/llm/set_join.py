@@ -57,6 +57,8 @@ SHELLS = (0, 20, 60, 120)
 PARTNERS, MORE_PARTNERS = 8, 8
 #: Sets, or shells, that a task holds against as many others.
 BLOCK = 1024
+#: Guests that meet a block of a shell's sets in one task, in blocks.
+GUESTS = 16
 #: n-grams or list entries that a task gathers before it deals them out.
 GATHER = 1 << 20
 #: Pairs whose bitmaps are compared at once.
@@ -471,8 +473,8 @@ def _coded(column: pa.ChunkedArray) -> tuple[list[bytes], np.ndarray, pa.Array]:
     return coded.dictionary.to_pylist(), place, pa.array(row)
 
 
-def _blocks(members: str) -> Column:
-    return F.ceil(F.col(members) / BLOCK).cast("int")
+def _blocks(members: Column) -> Column:
+    return F.ceil(members / BLOCK).cast("int")
 
 
 def _open_shells(lists: DataFrame, most: int, n_slots: int) -> DataFrame:
@@ -481,7 +483,7 @@ def _open_shells(lists: DataFrame, most: int, n_slots: int) -> DataFrame:
     ``lists`` has a row per token and shell with the token's number of shells (size). A row without
     p counts the pairs put off because both have ``most`` closer ones.
     """
-    rows = lists.withColumn("block", F.pmod(F.xxhash64("unit"), _blocks("size")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), _blocks("size") - 1)))
+    rows = lists.withColumn("block", F.pmod(F.xxhash64("unit"), _blocks(F.col("size"))).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), _blocks(F.col("size")) - 1)))
     rows = rows.withColumns({"x": F.least("block", "other"), "y": F.greatest("block", "other")})
     rows = rows.withColumn("slot", F.pmod(F.xxhash64("token", "x", "y"), F.lit(n_slots)).cast("int"))
 
@@ -517,16 +519,23 @@ def _open_shells(lists: DataFrame, most: int, n_slots: int) -> DataFrame:
 def _open_pairs(shells: DataFrame, units: DataFrame, info: DataFrame, most: int, n_slots: int) -> DataFrame:
     """a, n_a, b, n_b (a < b), put_off: sets of the pairs p, q of shells whose own bitmaps leave a link open.
 
-    Large shells meet in pairs of blocks of their sets. A row without a counts what was put off.
+    The larger shell of a pair is the host: its sets are sent once, in blocks, and the sets of all its
+    guests to each block. A row without a counts what was put off.
     """
-    of = lambda s: units.select(F.col("unit").alias(s), F.col("part").alias(f"part_{s}"), _blocks("members").alias(f"blocks_{s}"))
-    pairs = written(shells.select("p", "q").distinct().join(of("p"), "p").join(of("q"), "q"), "join-shells")
-
-    def side(own: str, other: str) -> DataFrame:
-        held = info.select(F.col("unit").alias(own), "sid", "n", "bits")
-        rows = pairs.join(held, own).withColumn(f"at_{own}", F.pmod(F.xxhash64("sid"), F.col(f"blocks_{own}")).cast("int"))
-        rows = rows.withColumn(f"at_{other}", F.explode(F.sequence(F.lit(0), F.col(f"blocks_{other}") - 1)))
-        return rows.select(F.xxhash64("p", "q", "at_p", "at_q").alias("key"), F.lit(own == "p").alias("left"), "sid", "n", "bits").withColumn("slot", F.pmod("key", F.lit(n_slots)).cast("int"))
+    of = lambda s: units.select(F.col("unit").alias(s), F.col("members").alias(f"members_{s}"))
+    pairs = shells.select("p", "q").distinct().join(of("p"), "p").join(of("q"), "q")
+    first = F.struct("members_p", "p") >= F.struct("members_q", "q")
+    pick = lambda x, y, name: F.when(first, F.col(x)).otherwise(F.col(y)).alias(name)
+    pairs = written(pairs.select(pick("p", "q", "host"), pick("q", "p", "guest"), pick("members_p", "members_q", "members"), pick("members_q", "members_p", "guests")), "join-shells")
+    hosts = pairs.groupBy("host").agg(_blocks(F.first("members")).alias("blocks"), _blocks(F.sum("guests") / GUESTS).alias("guest_blocks"))
+    hosts, block = written(hosts, "join-hosts"), lambda n: F.pmod(F.xxhash64("sid"), F.col(n)).cast("int")
+    each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    held = info.select("unit", "sid", "n", "bits")
+    own = hosts.join(held, hosts["host"] == held["unit"]).withColumn("at", block("blocks")).withColumn("guest_at", each("guest_blocks")).withColumn("left", F.lit(False))
+    guests = lookup_join(pairs.select("host", "guest"), hosts, ["host"], how="inner", salt=F.xxhash64("guest"))
+    guests = guests.join(held, guests["guest"] == held["unit"]).withColumn("guest_at", block("guest_blocks")).withColumn("at", each("blocks")).withColumn("left", F.lit(True))
+    both = own.select("host", "at", "guest_at", "left", "sid", "n", "bits").unionByName(guests.select("host", "at", "guest_at", "left", "sid", "n", "bits"))
+    both = both.select(F.xxhash64("host", "at", "guest_at").alias("key"), "left", "sid", "n", "bits").withColumn("slot", F.pmod("key", F.lit(n_slots)).cast("int"))
 
     def run(table: pa.Table) -> pa.Table:
         ids, sid, row = _coded(table["sid"])
@@ -536,7 +545,7 @@ def _open_pairs(shells: DataFrame, units: DataFrame, info: DataFrame, most: int,
         order = np.lexsort((~left, key))
         key, left, n, sid = key[order], left[order], n[order], sid[order]
         found = _Closest(most)
-        # Each left set meets the right sets of its key; they stand after the left ones.
+        # Each guest meets the host's sets of its key; they stand after the guests.
         for a, b in _runs(np.where(left, np.searchsorted(key, key, "right") - np.arange(len(key)) - 1, 0)):
             fine = ~left[b] & (5 * n[a] >= 4 * n[b]) & (5 * n[b] >= 4 * n[a])
             u, v = sid[a[fine]], sid[b[fine]]
@@ -551,7 +560,6 @@ def _open_pairs(shells: DataFrame, units: DataFrame, info: DataFrame, most: int,
         names, sizes = (lambda k: pa.array([*[ids[i] for i in k], None], pa.binary())), (lambda k: pa.array([*n_of[k].tolist(), None], pa.int64()))
         return pa.table({"a": names(a), "n_a": sizes(a), "b": names(b), "n_b": sizes(b), "put_off": [*[0] * len(a), found.dropped]})
 
-    both = side("p", "q").unionByName(side("q", "p"))
     return both.groupBy("slot").applyInArrow(run, "a binary, n_a long, b binary, n_b long, put_off long")
 
 
