@@ -21,17 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ragstone.llm.common import slices
-from ragstone.llm.tokens import Encoder, default_path, pieces_of, words_as_bytes
-
-#: Fixed value: the public byte-level pre-token pattern (public_tokenizers.PATTERN).
-PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-
-
-def byte_letters() -> list[str]:
-    """The letter that stands for each byte in byte-level vocabularies: printable bytes for themselves, the rest from U+0100 on."""
-    plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
-    rest = iter(range(256, 512))
-    return [chr(b if b in plain else next(rest)) for b in range(256)]
+from ragstone.llm.tokens import PATTERN, Encoder, byte_letters, default_path, pieces_of, words_as_bytes
 
 
 class BytePairCodec:
@@ -82,17 +72,10 @@ class BytePairCodec:
         return words_as_bytes(symbols)
 
     def _pieces(self, pieces: list[str]) -> list[bytes]:
-        out = []
-        for piece in pieces:
-            runs = self.at_added.split(piece) if self.at_added and "<" in piece else [piece]
-            ids = []
-            for run in runs:
-                if run in self.added:
-                    ids.append(words_as_bytes([self.added[run]]))
-                elif run:
-                    ids += self.words.encode([self.pattern.findall(run)])
-            out.append(b"".join(ids))
-        return out
+        runs = [self.at_added.split(piece) if self.at_added and "<" in piece else [piece] for piece in pieces]
+        plain = iter(self.words.encode([self.pattern.findall(run) for own in runs for run in own if run and run not in self.added]))
+        ids = lambda run: words_as_bytes([self.added[run]]) if run in self.added else next(plain) if run else b""
+        return [b"".join(map(ids, own)) for own in runs]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit bytes."""
