@@ -5,8 +5,8 @@ the low bits up. Ids that no selector holds (2**60 and more) are escapes: a zero
 and the block lists their positions and values. File: magic, blocks, the ids' count per document,
 block table, then the lengths of both tables. Decoding is vectorised over a block's words.
 
-Files are written by tasks in ascending doc_id order over range partitions; a written manifest lists
-the files of successful tasks only.
+Files are written by tasks in ascending doc_id order over range partitions and closed at a bound; a
+written manifest lists the files of successful tasks only, and each file is read by a task of its own.
 """
 
 from __future__ import annotations
@@ -35,6 +35,10 @@ NEAR_IDS = 16 * BLOCK_IDS
 GATHER_IDS = 1 << 21
 #: Blocks that a reader decodes at once.
 READ_BLOCKS = 32
+#: A file is closed beyond this many ids.
+FILE_IDS = 1 << 26
+#: Bytes of text that a writing task gets, about.
+TASK_BYTES = 128 << 20
 END_ID = 2
 MANIFEST = "part int, file int, path string, first_doc long, n_docs long, n_ids long"
 ROWS = "path string, doc int, doc_id long, n_tokens long, ids_crc32 long"
@@ -169,7 +173,7 @@ def read_file(file) -> Iterator[tuple[int | None, np.ndarray]]:
         ready = ready[n:]
 
 
-def write_token_files(docs: DataFrame, tokenizer: str, folder: str | None = None, end_id: int = END_ID) -> DataFrame:
+def write_token_files(docs: DataFrame, tokenizer: str, folder: str | None = None, end_id: int = END_ID, file_ids: int = FILE_IDS) -> DataFrame:
     """Encode every text and write the ids (with the end id) in ascending doc_id order; returns the manifest.
 
     Manifest: part and file (their order is the order of ids), path, first_doc (documents before the
@@ -184,22 +188,32 @@ def write_token_files(docs: DataFrame, tokenizer: str, folder: str | None = None
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, root = filesystem(folder)
-        name, out, n_ids = f"{uuid.uuid4().hex}.s8b", None, 0
+        out, name, n_ids, file, n_before = None, "", 0, 0, 0
+
+        def closed() -> pa.RecordBatch:
+            out.close()
+            row = {"part": TaskContext.get().partitionId(), "file": file, "path": f"{folder}/{name}", "first_doc": n_before, "n_docs": len(out.docs), "n_ids": n_ids}
+            return pa.RecordBatch.from_pylist([row], schema)
+
         for batch in batches:
             for part in slices(batch):
-                if out is None:
-                    fs.create_dir(root, recursive=True)
-                    out = IdFile(fs.open_output_stream(f"{root}/{name}"))
                 ids = encoder(tokenizer).encode([t or "" for t in part["text"].to_pylist()])
                 for doc_id, got in zip(part["doc_id"].to_pylist(), ids, strict=True):
+                    if out is None:
+                        fs.create_dir(root, recursive=True)
+                        name, n_ids = f"{uuid.uuid4().hex}.s8b", 0
+                        out = IdFile(fs.open_output_stream(f"{root}/{name}"))
                     out.add(doc_id, got + tail)
                     n_ids += len(got) // 4 + 1
+                    if n_ids >= file_ids:
+                        yield closed()
+                        file, n_before, out = file + 1, n_before + len(out.docs), None
         if out is not None:
-            out.close()
-            yield pa.RecordBatch.from_pylist([{"part": TaskContext.get().partitionId(), "file": 0, "path": f"{folder}/{name}", "first_doc": 0, "n_docs": len(out.docs), "n_ids": n_ids}], schema)
+            yield closed()
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("tie"))
-    n_parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
+    n_bytes = docs.agg(F.coalesce(F.sum(F.octet_length("text").cast("long")), F.lit(0)).alias("n")).first()["n"]
+    n_parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1 + n_bytes // TASK_BYTES)
     ordered = rows.repartitionByRange(n_parts, "doc_id", "tie").sortWithinPartitions("doc_id", "tie").drop("tie")
     return written(ordered.mapInArrow(write, MANIFEST), "token-manifest")
 
@@ -225,7 +239,9 @@ def read_token_files(manifest: DataFrame) -> DataFrame:
     # One manifest row per file: a running sum over as many rows as there are tasks.
     before = F.coalesce(F.sum("n_ids").over(Window.orderBy("part", "file").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     starts = manifest.select("path", before.alias("start"))
-    return starts.repartition("path").mapInArrow(read, "path string, doc int, doc_id long, start long, n_tokens long, ids_crc32 long").select("doc_id", "start", "n_tokens", "ids_crc32")
+    # A task for each file: numbered, or adaptive execution would join the few small rows in one.
+    starts = starts.repartitionByRange(max(1, manifest.count()), "start")
+    return starts.mapInArrow(read, "path string, doc int, doc_id long, start long, n_tokens long, ids_crc32 long").select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
 def token_file_round_trip(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
