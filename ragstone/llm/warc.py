@@ -1,8 +1,8 @@
 """WARC output with payload deduplication, and a splittable WARC reader.
 
 Writing: every record is a gzip member of its own, so an archive is a plain concatenation. Reading:
-a task scans its byte range for the gzip magic, accepts a candidate only if its first bytes inflate
-to a WARC version line, and owns the records that start inside the range; the last one may be read
+a task scans its byte range for the gzip magic, accepts a candidate only if it inflates to a WARC
+header block with the fields that every record has, and owns the records that start inside the range; the last one may be read
 past the range's end. No index and no whole-file task is needed.
 
 Archives are written by tasks under names of their own; the manifest, a written table, lists those
@@ -11,6 +11,8 @@ of successful tasks only, so files of lost or repeated tasks are never read.
 
 from __future__ import annotations
 
+import hashlib
+import re
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -28,6 +30,10 @@ ARCHIVE_BYTES = 256 << 20
 #: Bytes that a reading task scans.
 RANGE_BYTES = 8 << 20
 _READ = 1 << 20
+_FEED = 1 << 13
+#: Bytes within which a record's header block ends.
+_MOST_HEAD = 1 << 16
+_PAGE = re.compile(r"<urn:page:(-?[0-9]+)>")
 MAGIC = b"\x1f\x8b\x08"
 #: Fixed value: the revisit profile that the WARC 1.1 standard names.
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -110,43 +116,62 @@ def write_archives(pages: DataFrame, folder: str | None = None, least_bytes: int
 
 
 class _Window:
-    """A file read forward, with the bytes from ``base`` on held in a buffer."""
+    """A file read forward; the bytes from ``base`` on are held, and let go only when more are read."""
 
     def __init__(self, file, at: int):
-        self.file, self.base, self.data = file, at, b""
+        self.file, self.base, self.data, self.free = file, at, b"", at
         file.seek(at)
 
+    @property
+    def end(self) -> int:
+        return self.base + len(self.data)
+
     def more(self) -> bool:
         got = self.file.read(_READ)
-        self.data += got
+        self.data, self.base = self.data[self.free - self.base :] + got, self.free
         return bool(got)
 
-    def drop_to(self, at: int) -> None:
-        self.data, self.base = self.data[at - self.base :], at
+
+def _fields(head: bytes) -> dict[str, str]:
+    """The named fields of a WARC header block, names in lower case; empty if it is none."""
+    version, *lines = head.decode("utf-8", "replace").split("\r\n")
+    if not version.startswith("WARC/"):
+        return {}
+    pairs = [line.partition(":") for line in lines if line]
+    return {name.strip().lower(): value.strip() for name, _, value in pairs}
 
 
 def _is_record(window: _Window, at: int) -> bool:
-    """Whether the gzip magic at ``at`` starts a member that inflates to a WARC version line."""
-    while len(window.data) < at - window.base + 512 and window.more():
-        pass
-    try:
-        return zlib.decompressobj(31).decompress(window.data[at - window.base :][:512], 64).startswith(b"WARC/1.")
-    except zlib.error:
-        return False
+    """Whether the gzip magic at ``at`` starts a member with a WARC header: a version line, and the fields that every record has."""
+    unpacker, head, fed = zlib.decompressobj(31), b"", at
+    while b"\r\n\r\n" not in head and len(head) < _MOST_HEAD and not unpacker.eof:
+        if fed >= window.end and not window.more():
+            break
+        piece = window.data[fed - window.base : fed - window.base + 512]
+        fed += len(piece)
+        try:
+            head += unpacker.decompress(piece)
+        except zlib.error:
+            return False
+        if not b"WARC/".startswith(head[:5]):
+            return False
+    block, end, _ = head.partition(b"\r\n\r\n")
+    fields = _fields(block) if end else {}
+    return fields.get("content-length", "").isdecimal() and all(fields.get(x) for x in ("warc-type", "warc-record-id"))
 
 
 def members(file, start: int, end: int) -> Iterator[bytes]:
     """The inflated members that start in bytes [start, end) of ``file``."""
     window, at = _Window(file, start), start
     while at < end:
+        window.free = at
         found = window.data.find(MAGIC, at - window.base)
         if found < 0:
-            at = max(at, window.base + len(window.data) - len(MAGIC) + 1)
-            window.drop_to(min(at, window.base + len(window.data)))
+            at = window.free = max(at, window.end - len(MAGIC) + 1)
             if not window.more():
                 return
             continue
-        at = window.base + found
+        at = window.free = window.base + found
         if at >= end:
             return
         if not _is_record(window, at):
@@ -154,31 +179,36 @@ def members(file, start: int, end: int) -> Iterator[bytes]:
             continue
         unpacker, chunks, fed = zlib.decompressobj(31), [], at
         while not unpacker.eof:
-            if fed == window.base + len(window.data) and not window.more():
+            window.free = fed
+            if fed == window.end and not window.more():
                 raise EOFError(f"a record that starts at byte {at} is cut off")
-            piece = window.data[fed - window.base :]
+            piece = window.data[fed - window.base : fed - window.base + _FEED]
             chunks.append(unpacker.decompress(piece))
             fed += len(piece) - len(unpacker.unused_data)
-            if not unpacker.eof:
-                window.drop_to(fed)
         at = fed
-        window.drop_to(at)
         yield b"".join(chunks)
 
 
 def parsed(member: bytes) -> dict:
-    """A member of ``record`` as a row of RECORDS; payload_bytes and the digest are those of the full payload."""
+    """A member as a row of RECORDS; archives by other writers are read as well.
+
+    payload_bytes and the digest are those of the full payload where the record tells them; else they
+    are taken from the record's own body. page_id and refers_to are null where they are no page's.
+    The payload of http responses starts behind their own header; revisits have none.
+    """
     head, _, body = member.partition(b"\r\n\r\n")
-    fields = dict(line.split(": ", 1) for line in head.decode().split("\r\n")[1:])
-    body = body[: int(fields["Content-Length"])]
-    number = lambda name: int(x) if (x := fields.get(name, "")[len("<urn:page:") : -1]) else None
+    fields = _fields(head)
+    body, kind = body[: int(fields["content-length"])], fields["warc-type"]
+    number = lambda name: int(x.group(1)) if (x := _PAGE.fullmatch(fields.get(name, ""))) else None
+    payload = body.partition(b"\r\n\r\n")[2] if "application/http" in fields.get("content-type", "") else body
+    length, digest = fields.get("x-payload-length", ""), fields.get("warc-payload-digest", "")
     return {
-        "page_id": number("WARC-Record-ID"),
-        "payload_bytes": int(fields["X-Payload-Length"]),
-        "payload_digest": fields["WARC-Payload-Digest"].removeprefix("sha1:"),
-        "record_type": fields["WARC-Type"],
-        "refers_to": number("WARC-Refers-To"),
-        "payload": body.partition(b"\r\n\r\n")[2] if fields["WARC-Type"] == "response" else None,
+        "page_id": number("warc-record-id"),
+        "payload_bytes": int(length) if length.isdecimal() else len(payload),
+        "payload_digest": digest.removeprefix("sha1:") if digest else hashlib.sha1(payload).hexdigest(),
+        "record_type": kind,
+        "refers_to": number("warc-refers-to"),
+        "payload": None if kind == "revisit" else payload,
     }
 
 
@@ -206,7 +236,9 @@ def read_archives(manifest: DataFrame, range_bytes: int = RANGE_BYTES) -> DataFr
     schema = pa.schema([("page_id", pa.int64()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("record_type", pa.string()), ("refers_to", pa.int64()), ("payload", pa.binary())])
     starts = F.explode(F.sequence(F.lit(0).cast("long"), F.greatest(F.col("bytes") - 1, F.lit(0)), F.lit(range_bytes).cast("long")))
     spans = manifest.select("path", starts.alias("start")).withColumn("end", F.col("start") + F.lit(range_bytes).cast("long"))
-    return spans.repartition("path", "start").mapInArrow(_reader(schema), RECORDS)
+    # Numbered, or adaptive execution would join the few small rows in one task.
+    spans = written(spans, "warc-spans")
+    return spans.repartitionByRange(max(1, spans.count()), "path", "start").mapInArrow(_reader(schema), RECORDS)
 
 
 def archive_round_trip(pages: DataFrame) -> DataFrame:
