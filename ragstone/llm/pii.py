@@ -39,6 +39,7 @@ _ACCOUNT = re.compile(r"[0-9](?:[ -]?[0-9]){5,16}(?![0-9])")
 _AKIA = re.compile(r"AKIA[0-9A-Z]{16}(?![0-9A-Za-z])")
 _ASSIGNED = re.compile(r"[ \t]*[=:][ \t]*[\"']?")
 _VALUE = re.compile(r"[A-Za-z0-9_+/.~-]{8,}")
+_AUTHORITY = re.compile(r"[^\s<>\"'/?#]+")
 _REST = re.compile(r"[^\s<>\"']+")
 
 
@@ -123,10 +124,11 @@ def spans_of(text: str) -> dict[str, list[tuple[int, int]]]:
             start = at
             while start > end["url"] and text[start - 1].isascii() and (text[start - 1].isalnum() or text[start - 1] in "+.-"):
                 start -= 1
-            m = _REST.match(text, last + 1)
-            if start < at and text[start].isalpha() and m and "@" in re.split(r"[/?#]", m.group(), maxsplit=1)[0]:
-                spans["url"].append((start, m.end()))
-                end["url"] = m.end()
+            # The user info stands before the next slash, so no text is looked at for two schemes.
+            m = _AUTHORITY.match(text, last + 1)
+            if start < at and text[start].isalpha() and m and "@" in m.group():
+                end["url"] = _REST.match(text, last + 1).end()
+                spans["url"].append((start, end["url"]))
     return spans
 
 
@@ -146,7 +148,7 @@ def redacted(text: str) -> str:
 
 
 def find_pii(docs: DataFrame) -> DataFrame:
-    """doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans of every row.
+    """doc_id, n_email, n_ip, n_card, n_phone, n_account, n_key, n_url, base_sha256, spans of every row.
 
     Null text counts as empty (no spans; the digest of the empty string). Repeated rows are judged
     each for itself, an empty table gives an empty result, and only doc_id and text are read. Each
@@ -157,11 +159,11 @@ def find_pii(docs: DataFrame) -> DataFrame:
         for batch in batches:
             for part in slices(batch):
                 found = [spans_of(t or "") for t in part["text"].to_pylist()]
-                columns = {"doc_id": part["doc_id"]} | {f"n_{k}": pa.array([len(x[k]) for x in found], pa.int64()) for k in BASE}
+                columns = {"doc_id": part["doc_id"]} | {f"n_{k}": pa.array([len(x[k]) for x in found], pa.int64()) for k in KINDS}
                 columns["base_sha256"] = [hashlib.sha256(listed(x, BASE).encode()).hexdigest() for x in found]
                 yield pa.RecordBatch.from_pydict(columns | {"spans": [listed(x) for x in found]})
 
-    counts = ", ".join(f"n_{k} long" for k in BASE)
+    counts = ", ".join(f"n_{k} long" for k in KINDS)
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, f"doc_id long, {counts}, base_sha256 string, spans string")
 
 
