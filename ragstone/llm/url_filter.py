@@ -34,11 +34,30 @@ def path_of(url: Column) -> Column:
 
 
 def node_of(url: Column) -> Column:
-    """A URL as a node: trimmed, without its fragment, scheme and host in lower case; null without ``://``."""
+    """A URL as a node: trimmed, without its fragment and dot segments, scheme and host in lower case; null without ``://``."""
     url = F.trim(url)
     part = lambda k: F.regexp_extract(url, _SPLIT, k)
     lower = lambda c: F.translate(c, _UPPER, _LOWER)
-    return F.when(url.contains("://"), F.concat(lower(part(1)), F.lit("://"), lower(part(2)), part(3), part(4)))
+    path = F.when(part(3).contains("/."), _without_dots(part(3))).otherwise(part(3))
+    return F.when(url.contains("://"), F.concat(lower(part(1)), F.lit("://"), lower(part(2)), path, part(4)))
+
+
+def _without_dots(path: Column) -> Column:
+    """A path without ``.`` and ``..``, as RFC 3986 resolves them."""
+
+    def step(held: Column, name: Column) -> Column:
+        up = F.slice(held, 1, F.greatest(F.size(held) - 1, F.lit(1)))
+        return F.when(name == ".", held).when(name == "..", up).otherwise(F.concat(held, F.array(name)))
+
+    kept = F.array_join(F.aggregate(F.split(path, "/"), F.array().cast("array<string>"), step), "/")
+    return F.when(path.rlike(r"/\.{1,2}$") | (kept == ""), F.concat(kept, F.lit("/"))).otherwise(kept)
+
+
+def _unescaped(text: Column) -> Column:
+    """Character references as addresses use them; the ampersand's come last."""
+    for pattern, char in ((r"&(?:quot|#0*34|#x0*22);", '"'), (r"&(?:apos|#0*39|#x0*27);", "'"), (r"&(?:sol|#0*47|#x0*2f);", "/"), (r"&(?:colon|#0*58|#x0*3a);", ":"), (r"&(?:equals|#0*61|#x0*3d);", "="), (r"&(?:quest|#0*63|#x0*3f);", "?"), (r"&(?:amp|#0*38|#x0*26);", "&")):
+        text = F.regexp_replace(text, "(?i)" + pattern, char)
+    return text
 
 
 def _with_rule(rows: DataFrame, rules: list[tuple[str, str, str]]) -> DataFrame:
@@ -49,12 +68,12 @@ def _with_rule(rows: DataFrame, rules: list[tuple[str, str, str]]) -> DataFrame:
             fits = ((F.col("host") == host) | F.col("host").endswith("." + host)) & F.col("path").startswith(path)
             pick = F.when(fits, F.struct(F.lit(host + path).alias("rule"), F.lit(verdict).alias("rule_verdict"))).otherwise(pick)
         return rows.withColumn("__rule", pick).withColumns({"rule": F.col("__rule.rule"), "rule_verdict": F.col("__rule.rule_verdict")}).drop("__rule")
-    table = rows.sparkSession.createDataFrame(rules, "rule_host string, rule_path string, rule_verdict string")
+    table = rows.sparkSession.createDataFrame([(*r, i) for i, r in enumerate(rules)], "rule_host string, rule_path string, rule_verdict string, place int")
     places = rows.select("host", "path").distinct()
     labels = F.split("host", r"\.")
     suffix = F.explode(F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), ".")))
     fits = places.withColumn("rule_host", suffix).join(table, "rule_host").filter(F.col("path").startswith(F.col("rule_path")))
-    best = fits.groupBy("host", "path").agg(F.max(F.struct(F.length("rule_host") + F.length("rule_path"), F.concat("rule_host", "rule_path").alias("rule"), "rule_verdict")).alias("b"))
+    best = fits.groupBy("host", "path").agg(F.max(F.struct(F.length("rule_host") + F.length("rule_path"), "place", F.concat("rule_host", "rule_path").alias("rule"), "rule_verdict")).alias("b"))
     best = written(best.select("host", "path", "b.rule", "b.rule_verdict"), "url-rules")
     return lookup_join(rows, best, ["host", "path"])
 
@@ -62,18 +81,21 @@ def _with_rule(rows: DataFrame, rules: list[tuple[str, str, str]]) -> DataFrame:
 def link_edges(pages: DataFrame) -> DataFrame:
     """u, v: nodes of a page and of the targets of its canonical links and refresh redirects.
 
-    Absolute, scheme-relative, root-relative and plain relative targets are understood.
+    Absolute, scheme-relative, root-relative, plain relative and query-only targets are understood, with
+    character references and dot segments.
     """
     html, url = F.col("html"), F.col("url")
     tags = F.filter(F.regexp_extract_all(html, F.lit(r"(?is)<(?:link|meta)\b[^>]*>"), 0), lambda t: t.rlike(_LINKS))
     target = lambda t: F.when(t.rlike("(?i)^<link"), F.regexp_extract(t, r"""(?i)\bhref\s*=\s*["']?([^"'\s>]+)""", 1)).otherwise(F.regexp_extract(t, r"""(?i)\burl\s*=\s*["']?([^"'\s>]+)""", 1))
-    rows = pages.filter(html.rlike("(?i)(canonical|refresh)") & url.contains("://")).select(url.alias("url"), F.explode(F.transform(tags, target)).alias("to")).filter("to <> ''")
+    rows = pages.filter(html.rlike("(?i)(canonical|refresh)") & url.contains("://")).select(url.alias("url"), F.explode(F.transform(tags, target)).alias("to")).filter("to <> ''").withColumn("to", _unescaped(F.col("to")))
     scheme, site = F.regexp_extract("url", _SPLIT, 1), F.regexp_extract("url", r"(?s)^(.*?://[^/?#]*)", 1)
     folder = F.regexp_replace(path_of(F.col("url")), "[^/]*$", "")
     full = (
         F.when(F.col("to").rlike("^[A-Za-z][A-Za-z0-9+.-]*://"), F.col("to"))
         .when(F.col("to").startswith("//"), F.concat(scheme, F.lit(":"), F.col("to")))
         .when(F.col("to").startswith("/"), F.concat(site, F.col("to")))
+        .when(F.col("to").startswith("?"), F.concat(site, path_of(F.col("url")), F.col("to")))
+        .when(F.col("to").startswith("#"), F.col("url"))
         .otherwise(F.concat(site, F.when(folder == "", F.lit("/")).otherwise(folder), F.col("to")))
     )
     return rows.select(node_of(F.col("url")).alias("u"), node_of(full).alias("v"))
