@@ -18,13 +18,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ragstone.llm.common import written
+from ragstone.llm.common import lookup_join, written
 
 FINE = 200
 PARCELS = 128
 PIECES = 64
 #: Shard-local blocks in which slots are counted side by side.
 SLOT_BLOCKS = 16
+#: Rows of a shard in a block, about, where there are many.
+BLOCK_ROWS = 200_000
 #: Bytes that a row costs besides its text.
 ROW_BYTES = 16
 
@@ -144,6 +146,20 @@ def shard_documents(docs: DataFrame, n_shards: int = 40) -> DataFrame:
     get a slot of their own; ties in doc_id within a shard are broken by the row's place in the
     input. An empty table gives an empty result; columns besides doc_id and text are not read.
     """
+    placed, _ = _placed(docs.withColumn("__uid", F.monotonically_increasing_id()), n_shards)
+    # A row per shard and block: each block's first slot.
+    sums = placed.groupBy("shard", "block").agg(F.count(F.lit(1)).alias("n"))
+    before = F.coalesce(F.sum("n").over(Window.partitionBy("shard").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    first = sums.select("shard", "block", before.alias("first"))
+    rank = F.row_number().over(Window.partitionBy("shard", "block").orderBy("doc_id", "uid"))
+    return (
+        lookup_join(placed.withColumn("rank", rank), written(first, "shard-first"), ["shard", "block"], how="inner", salt=F.xxhash64("uid"))
+        .select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", (F.col("first") + F.col("rank") - 1).alias("slot"), F.lit(None).cast(T.IntegerType()).alias("grown_shard"))
+    )
+
+
+def _placed(docs: DataFrame, n_shards: int) -> tuple[DataFrame, int]:
+    """doc_id, size, text_crc32, uid, shard, block of every row of ``docs`` (with a column __uid), and the number of blocks in a shard."""
     spark = docs.sparkSession
     rows = written(
         docs.select(
@@ -151,12 +167,13 @@ def shard_documents(docs: DataFrame, n_shards: int = 40) -> DataFrame:
             (F.coalesce(F.octet_length("text"), F.lit(0)) + ROW_BYTES).cast("long").alias("size"),
             F.crc32(F.coalesce("text", F.lit(""))).alias("text_crc32"),
             F.coalesce(F.sha2("text", 256), F.lit("null")).alias("key"),
-            F.monotonically_increasing_id().alias("uid"),
+            F.col("__uid").alias("uid"),
         ),
         "shard-rows",
     )
     groups = rows.groupBy("key").agg(F.sum("size").alias("bytes"))
-    total = rows.agg(F.coalesce(F.sum("size"), F.lit(0)).alias("n")).first()["n"]
+    total, n_rows = rows.agg(F.coalesce(F.sum("size"), F.lit(0)), F.count(F.lit(1))).first()
+    n_blocks = max(SLOT_BLOCKS, n_rows // (n_shards * BLOCK_ROWS))
     share = -(-total // n_shards)
     parcel = F.concat(F.lit("p"), F.pmod(F.xxhash64("key"), F.lit(n_shards * PARCELS)).cast("string"))
     unit_of = F.when(F.col("bytes") > share // FINE, F.col("key")).otherwise(parcel)
@@ -180,23 +197,22 @@ def shard_documents(docs: DataFrame, n_shards: int = 40) -> DataFrame:
     bins = packed_into([b for *_, b in packed], n_shards)
     places = spark.createDataFrame([(u, p, s) for (u, p, _), s in zip(packed, bins, strict=True)], "unit string, piece long, shard int")
     placed = labelled.join(F.broadcast(places), ["unit", "piece"]).select("doc_id", "size", "text_crc32", "uid", "shard")
-    placed = written(placed.withColumn("block", F.pmod(F.xxhash64("uid"), F.lit(SLOT_BLOCKS)).cast("int")), "shard-places")
-    # shards * SLOT_BLOCKS rows: each block's first slot.
-    sums = placed.groupBy("shard", "block").agg(F.count(F.lit(1)).alias("n"))
-    before = F.coalesce(F.sum("n").over(Window.partitionBy("shard").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    first = sums.select("shard", "block", before.alias("first"))
-    rank = F.row_number().over(Window.partitionBy("shard", "block").orderBy("doc_id", "uid"))
-    return (
-        placed.withColumn("rank", rank)
-        .join(F.broadcast(first), ["shard", "block"])
-        .select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", (F.col("first") + F.col("rank") - 1).alias("slot"), F.lit(None).cast(T.IntegerType()).alias("grown_shard"))
-    )
+    return written(placed.withColumn("block", F.pmod(F.xxhash64("uid"), F.lit(n_blocks)).cast("int")), "shard-places"), n_blocks
 
 
 def write_shards(docs: DataFrame, path: str, n_shards: int = 40) -> None:
-    """Write ``docs`` as one Parquet folder per shard under ``path`` (``shard=<n>/``), rows joined by doc_id.
+    """Write every row of ``docs`` with all its columns as one Parquet folder per shard under ``path`` (``shard=<n>/``).
 
-    Rows that share a doc_id go to the shard of the smallest slot that the id has.
+    Rows are placed one by one, so null and repeated ids are kept, and equal ids with different texts
+    may part. Where ``docs`` has a column shard of its own, it stays and the folders are named
+    ``shard_=<n>/``, with as many underscores as make the name free. An empty table writes
+    no folder.
     """
-    places = shard_documents(docs, n_shards).groupBy("doc_id").agg(F.min_by("shard", "slot").alias("shard"))
-    docs.drop("shard").join(places, "doc_id").repartition(n_shards * SLOT_BLOCKS, "shard", F.pmod(F.xxhash64("doc_id"), F.lit(SLOT_BLOCKS))).write.partitionBy("shard").parquet(path)
+    name = "shard"
+    while name in docs.columns:
+        name += "_"
+    # The numbers of rows must not change between two readings: they are written with the rows.
+    rows = written(docs.withColumn("__uid", F.monotonically_increasing_id()), "shard-input")
+    placed, n_blocks = _placed(rows, n_shards)
+    placed = placed.select(F.col("uid").alias("__uid"), F.col("shard").alias(name), F.col("block").alias("__block"))
+    rows.join(placed, "__uid").repartition(n_shards * n_blocks, name, "__block").drop("__uid", "__block").write.partitionBy(name).parquet(path)
