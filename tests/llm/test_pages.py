@@ -1,5 +1,6 @@
 """Archives, URL filters, components and nearest neighbours against brute force."""
 
+import gzip
 import hashlib
 import io
 import random
@@ -159,3 +160,51 @@ def test_nearest(spark):
     few = ann.nearest(spark.createDataFrame(rows[:4], schema)).collect()
     assert sorted((r.query_id, r.rank) for r in few) == [(0, 1), (0, 2), (0, 3)]
     assert ann.nearest(spark.createDataFrame([], schema)).count() == 0
+
+
+def test_rule_ties_do_not_depend_on_the_number_of_rules(spark):
+    """The later of two rules of one length wins, inline and joined."""
+    rows = spark.createDataFrame([(1, "http://a.b.com/a/x", "")], "page_id long, url string, html string")
+    fill = [(f"h{i}.test", "/", "block") for i in range(url_filter.INLINE_RULES)]
+    for pair in ([("b.com", "/a/", "allow"), ("a.b.com", "/", "block")], [("a.b.com", "/", "block"), ("b.com", "/a/", "allow")]):
+        got = [url_filter.judge_urls(rows, rules).first().verdict for rules in (pair, pair + fill, fill + pair)]
+        assert got == [pair[1][2]] * 3
+
+
+def test_edges_resolve_targets(spark):
+    tags = {"../c?x=1&amp;y=2": "https://a.test/c?x=1&y=2", "./d/": "https://a.test/b/d/", "?q=1": "https://a.test/b/p?q=1", "/x/../y": "https://a.test/y", "//B.test/z": "https://b.test/z", "#top": "https://a.test/b/p", "..": "https://a.test/"}
+    for to, want in tags.items():
+        rows = spark.createDataFrame([(1, "https://a.test/b/p", f'<link rel="canonical" href="{to}">')], "page_id long, url string, html string")
+        assert [r.v for r in url_filter.link_edges(rows).collect()] == [want]
+
+
+def test_blocks_spread_over_a_random_graph(spark):
+    rng = random.Random(11)
+    n = 120
+    url = lambda i: f"https://h{i}.net/{'es' if i % 17 == 0 else 'x'}/{i}"
+    edges = [(rng.randrange(n), rng.randrange(n)) for _ in range(90)]
+    rows = [(i, url(i), "".join(f"<link rel='canonical' href='{url(b)}'>" for a, b in edges if a == i)) for i in range(n)]
+    blocked, grown = {i for i in range(n) if i % 17 == 0}, True
+    while grown:
+        more = {y for a, b in edges for x, y in ((a, b), (b, a)) if x in blocked} - blocked
+        blocked, grown = blocked | more, bool(more)
+    got = url_filter.judge_urls(spark.createDataFrame(rows, "page_id long, url string, html string")).filter("verdict = 'block'").collect()
+    assert {r.page_id for r in got} == blocked
+
+
+def test_archives_by_other_writers():
+    """Other header names' case and order, no length of the payload, no digest, further record types."""
+    member = lambda head, body: gzip.compress("\r\n".join(["WARC/1.0", *head, f"content-length: {len(body)}"]).encode() + b"\r\n\r\n" + body + b"\r\n\r\n")
+    info = member(["WARC-Record-ID: <urn:uuid:1>", "WARC-Type: warcinfo", "Content-Type: application/warc-fields"], b"software: x")
+    page = member(["Content-Type: application/http; msgtype=response", "warc-type: response", "WARC-Record-ID: <urn:uuid:2>"], b"HTTP/1.1 200 OK\r\nX: y\r\n\r\nhello")
+    headless = gzip.compress(b"WARC/1.0\r\nno fields\r\n\r\n")
+    data = info + headless + page
+    rows = [warc.parsed(x) for x in warc.members(_File(data), 0, len(data))]
+    assert [(r["record_type"], r["payload"], r["payload_bytes"], r["page_id"]) for r in rows] == [("warcinfo", b"software: x", 11, None), ("response", b"hello", 5, None)]
+    assert rows[1]["payload_digest"] == hashlib.sha1(b"hello").hexdigest()
+
+
+def test_a_task_for_each_span(spark, pages):
+    manifest = warc.write_archives(pages.repartition(3))
+    spans = sum(-(-r.bytes // 1000) for r in manifest.collect())
+    assert warc.read_archives(manifest, 1000).rdd.getNumPartitions() == spans

@@ -1,9 +1,11 @@
 import hashlib
+import io
 import random
 import zlib
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -103,3 +105,37 @@ def test_packing_of_odd_rows(odd_docs, no_docs):
     five = sorted((p for p in pieces if p.doc_id == 5), key=lambda p: p.start)
     assert ids_of(b"".join(p.ids for p in five)) == [*library.encode(odd_docs.filter("doc_id = 5").first().text, add_special_tokens=False).ids, 0]
     assert packing.packed(no_docs).count() == 0
+
+
+def test_files_are_cut_and_read_by_tasks_of_their_own(spark):
+    """Many files and blocks, ids without bound, documents over several blocks."""
+    docs = spark.createDataFrame([(i, "word " * (i * 37 % 900)) for i in range(60)], "doc_id long, text string").repartition(4)
+    manifest = token_files.write_token_files(docs, tokens.default_path("word_bpe_49k.json"), file_ids=3000)
+    assert manifest.count() > 8 and all(r.n_ids >= 1 for r in manifest.collect())
+    rows = token_files.read_token_files(manifest)
+    assert rows.rdd.getNumPartitions() == manifest.count()
+    got = sorted((r.doc_id, r.start, r.n_tokens) for r in rows.collect())
+    sizes = [i * 37 % 900 + 1 for i in range(60)]
+    assert got == [(i, sum(sizes[:i]), sizes[i]) for i in range(60)]
+    rng = np.random.default_rng(3)
+    ids = rng.integers(0, 1 << 20, 3 * token_files.GATHER_IDS // 2).astype("<u4")
+    out = io.BytesIO()
+    out.close, file = lambda: None, token_files.IdFile(out)
+    bounds = [0, 5, 5, 70_000, 900_000, len(ids)]
+    for k, (a, b) in enumerate(zip(bounds, bounds[1:])):
+        file.add(k, ids[a:b].tobytes())
+    file.close()
+    back = list(token_files.read_file(pa.BufferReader(out.getvalue())))
+    assert [d for d, _ in back] == list(range(5)) and np.array_equal(np.concatenate([x for _, x in back]), ids)
+
+
+def test_written_sequences_and_padding(spark, odd_docs, tmp_path):
+    packing.write_sequences(odd_docs, str(tmp_path / "out"))
+    pieces = packing.packed(odd_docs)
+    used = {r.sequence_id: r.used for r in packing.padding(pieces).collect()}
+    assert {r.sequence_id: len(r.ids) // 4 for r in spark.read.parquet(str(tmp_path / "out")).collect()} == used
+    assert all(r.padding == (0 if r.used & (r.used - 1) == 0 else 1024 - r.used) for r in packing.padding(pieces).collect())
+    library = Tokenizer.from_file(tokens.default_path("byte_bpe_50k.json"))
+    encoded = {r.doc_id: r.ids for r in bpe.encoded(odd_docs.filter("doc_id is not null").dropDuplicates(["doc_id"])).collect()}
+    texts = {r.doc_id: r.text for r in odd_docs.filter("doc_id in (1, 4, 5)").collect()}
+    assert all(encoded[i] == library.encode(t or "", add_special_tokens=False).ids for i, t in texts.items())
