@@ -286,9 +286,9 @@ def _ids(a: np.ndarray, b: np.ndarray) -> pa.Array:
 
 
 def index_lists(docs: DataFrame, frequent: tuple[np.ndarray, np.ndarray], n_slots: int) -> DataFrame:
-    """token, sid, n, pivot, pivot_n: the entries of lists with two sets or more.
+    """token, sid, n, place, pivot, pivot_n: the entries of lists with two sets or more.
 
-    pivot is null where the entry's position rules a link with its block's pivot out.
+    place is the n-gram's position in the set's own order. pivot is null where the entry's position rules a link with its block's pivot out.
     """
     known = docs.sparkSession.sparkContext.broadcast(frequent)
 
@@ -351,10 +351,10 @@ def index_lists(docs: DataFrame, frequent: tuple[np.ndarray, np.ndarray], n_slot
         met = (9 * i <= 5 * n - 4 * n[pivot]) & (9 * i[pivot] <= 5 * n[pivot] - 4 * n) & (pivot != np.arange(len(rows)))
         pivots = pa.array(np.where(met, pivot, 0), pa.int64(), mask=~met)
         ids = _ids(rows["a"], rows["b"])
-        return pa.table({"token": rows["t"].view(np.int64), "sid": ids, "n": n, "pivot": ids.take(pivots), "pivot_n": pa.array(n).take(pivots)})
+        return pa.table({"token": rows["t"].view(np.int64), "sid": ids, "n": n, "place": i, "pivot": ids.take(pivots), "pivot_n": pa.array(n).take(pivots)})
 
     dealt = docs.mapInArrow(gather, "slot int, data binary")
-    return dealt.groupBy("slot").applyInArrow(listed, "token long, sid binary, n long, pivot binary, pivot_n long")
+    return dealt.groupBy("slot").applyInArrow(listed, "token long, sid binary, n long, place long, pivot binary, pivot_n long")
 
 
 def compared(pairs: DataFrame, docs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -491,9 +491,9 @@ def _open_shells(lists: DataFrame, most: int, n_slots: int) -> DataFrame:
         units, unit, row = _coded(table["unit"])
         _, part, _ = _coded(table["part"])
         maps = Bitmaps(table["bits"].take(row).to_pylist())
-        columns = [table[name].to_numpy().astype(np.int64) for name in ("token", "x", "y", "block", "least", "most", "off")]
+        columns = [table[name].to_numpy().astype(np.int64) for name in ("token", "x", "y", "block", "least", "most", "off", "place")]
         order = np.lexsort((columns[4], columns[2], columns[1], columns[0]))
-        token, x, y, block, least, largest, off, unit, part = (c[order] for c in (*columns, unit, part))
+        token, x, y, block, least, largest, off, place, unit, part = (c[order] for c in (*columns, unit, part))
         new = np.ones(len(token), bool)
         new[1:] = (token[1:] != token[:-1]) | (x[1:] != x[:-1]) | (y[1:] != y[:-1])
         # Shells within reach of a shell's size follow it in its list; the rest is skipped.
@@ -502,6 +502,8 @@ def _open_shells(lists: DataFrame, most: int, n_slots: int) -> DataFrame:
         found = _Closest(most)
         for a, b in _runs(reach - np.arange(len(token)) - 1):
             fine = (part[a] != part[b]) & ((x[a] == y[a]) | (block[a] != block[b]))
+            # Linked sets first meet where both have enough n-grams left: other lists of theirs are passed over.
+            fine &= (9 * place[a] <= 5 * largest[a] - 4 * least[b]) & (9 * place[b] <= 5 * largest[b] - 4 * least[a])
             a, b = a[fine], b[fine]
             low, about = maps.differ(unit[a], unit[b])
             total = largest[a] + largest[b]
@@ -512,7 +514,7 @@ def _open_shells(lists: DataFrame, most: int, n_slots: int) -> DataFrame:
         names = lambda k: pa.array([*[units[i] for i in pairs[:, k].tolist()], None], pa.binary())
         return pa.table({"p": names(0), "q": names(1), "put_off": [*[0] * len(pairs), found.dropped]})
 
-    rows = rows.select("slot", "token", "x", "y", "block", "unit", "part", "least", "most", "off", "bits")
+    rows = rows.select("slot", "token", "x", "y", "block", "unit", "part", "least", "most", "off", "place", "bits")
     return rows.groupBy("slot").applyInArrow(run, "p binary, q binary, put_off long")
 
 
@@ -610,13 +612,15 @@ def linked_sets(spark: SparkSession, docs: DataFrame, sets: DataFrame) -> DataFr
 
     pair = lambda rows: rows.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     done, most = pair(answers), PARTNERS
-    placed = written(lists.select("token", "sid").join(info.select("sid", "unit"), "sid").select("token", "unit").distinct(), "join-placed")
+    placed = written(lists.select("token", "sid", "place").join(info.select("sid", "unit"), "sid").groupBy("token", "unit").agg(F.min("place").alias("place")), "join-placed")
     while True:
         # Of lists that hold the same shells one is enough, and none that hold one component alone.
         content = [F.count(F.lit(1)).alias("size"), F.bit_xor(F.xxhash64("unit", F.lit(1))).alias("h"), F.bit_xor(F.xxhash64(F.lit(2), "unit")).alias("g")]
         mixed = placed.join(units.select("unit", "part"), "unit").groupBy("token").agg(F.min("part").alias("x"), F.max("part").alias("y"), *content)
-        mixed = mixed.filter("x <> y").groupBy("size", "h", "g").agg(F.min("token").alias("token")).select("token", "size")
-        placed = written(placed.join(mixed.select("token"), "token", "left_semi"), "join-mixed")
+        mixed = written(mixed.filter("x <> y").select("token", "size", "h", "g"), "join-mixed")
+        one = mixed.join(mixed.groupBy("size", "h", "g").agg(F.min("token").alias("one")), ["size", "h", "g"]).select("token", "one")
+        placed = placed.join(one, "token").groupBy(F.col("one").alias("token"), "unit").agg(F.min("place").alias("place"))
+        placed = written(placed, "join-placed")
         sizes = placed.groupBy("token").agg(F.count(F.lit(1)).alias("size"))
         by_shell = placed.join(sizes, "token").join(units.select("unit", "part", "least", "most", "off", "bits"), "unit")
         shells = written(_open_shells(by_shell, most, n_slots), "join-shells")
