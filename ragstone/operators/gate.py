@@ -10,15 +10,15 @@ def gated(current: DataFrame, baseline: DataFrame, rules: DataFrame, comparable:
     """suite, metric, current, baseline, passed, reason, blocking for every rule with a current value.
 
     ``rules``: suite, metric, floor, max_drop, gating. The floor is looked at first; both limits are
-    strict; a baseline that is not positive, or no comparable one, sets no tolerance. A failure of a
-    rule that does not gate, or of an incomparable run, does not block.
+    strict; a baseline that is not positive, or none, sets no tolerance. A rule that does not gate, and
+    every rule of a run that is not comparable, is only reported: it passes, with an empty reason.
     """
-    base = baseline if comparable else baseline.limit(0)
-    rows = rules.join(F.broadcast(current.withColumnRenamed("value", "current")), ["suite", "metric"]).join(F.broadcast(base.withColumnRenamed("value", "baseline")), ["suite", "metric"], "left")
+    rows = rules.join(current.withColumnRenamed("value", "current"), ["suite", "metric"]).join(baseline.withColumnRenamed("value", "baseline"), ["suite", "metric"], "left")
     drop = F.when(F.col("baseline") > 0, (F.col("baseline") - F.col("current")) / F.col("baseline"))
-    reason = F.when(F.col("current") < F.col("floor"), "floor").when(drop > F.col("max_drop"), "drop").otherwise("")
+    gates = F.coalesce("gating", F.lit(True)) & F.lit(comparable)
+    reason = F.when(~gates, "").when(F.col("current") < F.col("floor"), "floor").when(drop > F.col("max_drop"), "drop").otherwise("")
     rows = rows.withColumn("reason", reason).withColumn("passed", F.col("reason") == "")
-    return rows.select("suite", "metric", "current", "baseline", "passed", "reason", (~F.col("passed") & F.coalesce("gating", F.lit(True)) & F.lit(comparable)).alias("blocking"))
+    return rows.select("suite", "metric", "current", "baseline", "passed", "reason", (~F.col("passed")).alias("blocking"))
 
 
 def exit_code(result: DataFrame, version_matches: bool = True) -> int:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -74,18 +76,39 @@ def with_decisions(candidates: DataFrame, decisions: DataFrame) -> DataFrame:
     return rows.withColumns({"status": status, "question": F.coalesce("q", "question"), "ground_truth": F.coalesce("a", "ground_truth")}).drop("d", "q", "a")
 
 
+def _promotable(candidates: DataFrame, golden: DataFrame) -> DataFrame:
+    """Approved ``candidates`` with their key and ``skip``: known or repeated questions, and sources that do not suit the difficulty."""
+    key = lambda c: F.lower(text.strip(F.coalesce(F.col(c), F.lit(""))))
+    n_sources = F.coalesce(F.size("source_ids"), F.lit(0))
+    fine = F.when(F.coalesce(F.col("difficulty") == "negative", F.lit(False)), n_sources <= 0).otherwise(n_sources > 0)
+    rows = candidates.filter(F.col("status") == "approved").withColumns({"key": key("question"), "fine": fine})
+    known = golden.select(key("question").alias("key"), F.lit(True).alias("known")).distinct()
+    nth = F.row_number().over(Window.partitionBy("key", "fine").orderBy("pos"))
+    rows = rows.join(known, "key", "left").withColumn("nth", nth)
+    return rows.withColumn("skip", F.col("known").isNotNull() | ~F.col("fine") | (F.col("nth") > 1))
+
+
 def promote(candidates: DataFrame, golden: DataFrame, version: str) -> DataFrame:
-    """New golden records from approved ``candidates`` (with pos): known and repeated questions go, ids continue."""
-    key = lambda c: F.lower(text.strip(F.col(c)))
-    fine = F.when(F.col("difficulty") == "negative", F.size("source_ids") == 0).otherwise(F.size("source_ids") > 0)
-    rows = candidates.filter(F.col("status") == "approved").filter(fine).withColumn("key", key("question"))
-    first = F.row_number().over(Window.partitionBy("key").orderBy("pos"))
-    rows = rows.withColumn("nth", first).filter("nth = 1").join(golden.select(key("question").alias("key")).distinct(), "key", "left_anti")
+    """New golden records from approved ``candidates`` (with pos), as ``version`` (like v2); ids go on from the highest.
+
+    Known and repeated questions are skipped, and negatives with sources and others without (null counts
+    as none); a skipped candidate does not make a later one repeated. Question and ground truth are
+    stripped.
+    """
+    if not re.fullmatch(r"v\d+", version):
+        raise ValueError(f"version must look like 'v2', got {version!r}")
+    rows = _promotable(candidates, golden).filter("not skip")
     base = golden.agg((F.coalesce(F.max(F.regexp_extract("id", r"^q_(\d+)$", 1).try_cast("int")), F.lit(-1)) + 1).alias("base"))
     number = F.row_number().over(Window.orderBy("pos")) - 1
     rows = rows.withColumn("number", number).join(F.broadcast(base))
     new_id = F.format_string("q_%04d", (F.col("number") + F.col("base")).cast("int"))
-    return rows.select(new_id.alias("id"), "question", "ground_truth", "source_ids", "difficulty", F.lit(version).alias("added_in"))
+    stripped = [text.strip(F.col(c)).alias(c) for c in ("question", "ground_truth")]
+    return rows.select(new_id.alias("id"), *stripped, F.coalesce("source_ids", F.array().cast("array<string>")).alias("source_ids"), "difficulty", F.lit(version).alias("added_in"))
+
+
+def promote_skipped(candidates: DataFrame, golden: DataFrame) -> DataFrame:
+    """candidate_id of the approved ``candidates`` that ``promote`` skips."""
+    return _promotable(candidates, golden).filter("skip").select("candidate_id")
 
 
 def queue_summary(candidates: DataFrame) -> DataFrame:

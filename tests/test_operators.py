@@ -106,6 +106,18 @@ def test_golden(spark):
     assert [(r.id, r.question) for r in golden.promote(drafts, data, "v13").orderBy("id").collect()] == [("q_0004", "New?"), ("q_0005", "Neg?")]
 
 
+def test_promotion_strips_and_tells_what_it_skips(spark):
+    known = spark.createDataFrame([("q_0007", " Known? ", "a", ["s"], "single_hop", "v1")], tables.GOLDEN)
+    rows = [(1, "c1", "known?", "g", ["s"], "single_hop"), (2, "c2", " Neg? ", " g ", None, "negative"), (3, "c3", "Twice?", "g", None, "single_hop"), (4, "c4", "twice?", "g", ["s"], "single_hop"), (5, "c5", "TWICE?", "g", ["s"], "single_hop"), (6, "c6", "Sourced?", "g", ["s"], "negative")]
+    drafts = spark.createDataFrame([(*r, "approved") for r in rows], "pos long, candidate_id string, question string, ground_truth string, source_ids array<string>, difficulty string, status string")
+    got = golden.promote(drafts, known, "v2").orderBy("id").collect()
+    assert [(r.id, r.question, r.ground_truth, r.source_ids) for r in got] == [("q_0008", "Neg?", "g", []), ("q_0009", "twice?", "g", ["s"])]
+    assert {r.candidate_id for r in golden.promote_skipped(drafts, known).collect()} == {"c1", "c3", "c5", "c6"}
+    for version in ("2", "v", "v2 ", "x2"):
+        with pytest.raises(ValueError):
+            golden.promote(drafts, known, version)
+
+
 def test_selection(spark):
     chunks = spark.createDataFrame([(f"p{i:02d}", c, "x" * 250) for i in range(9) for c in range(2)], "page_path string, chunk_index int, text string")
     assert [r.page_path for r in golden.select_chunks(chunks, 3, per_page=1).collect()] == ["p00", "p03", "p06"]
@@ -140,8 +152,9 @@ def test_gate(spark):
     current = spark.createDataFrame([("r", "hit", 0.79), ("r", "mrr", 0.70), ("r", "rec", 0.5), ("r", "new", 0.1)], "suite string, metric string, value double")
     baseline = spark.createDataFrame([("r", "hit", 0.9), ("r", "mrr", 0.75), ("r", "rec", 0.6)], "suite string, metric string, value double")
     got = {r.metric: (r.reason, r.blocking) for r in gate.gated(current, baseline, rules).collect()}
-    assert got == {"hit": ("floor", True), "mrr": ("drop", True), "rec": ("drop", False), "new": ("", False)}
+    assert got == {"hit": ("floor", True), "mrr": ("drop", True), "rec": ("", False), "new": ("", False)}
     assert gate.exit_code(gate.gated(current, baseline, rules)) == 1
+    assert {(r.passed, r.reason) for r in gate.gated(current, baseline, rules, comparable=False).collect()} == {(True, "")}
     assert gate.exit_code(gate.gated(current, baseline, rules, comparable=False)) == 0
     assert gate.exit_code(current, version_matches=False) == 2
 
