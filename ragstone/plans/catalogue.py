@@ -39,9 +39,9 @@ _raw = lambda a, b: _share(f"list_distinct({_tok(a)})", f"list_distinct({_tok(b)
 # --- retrieval ---------------------------------------------------------------------------------
 
 _RANKED = """
-q AS (SELECT vec_id AS qid, label AS qlabel, embedding::DOUBLE[] AS e FROM embeddings WHERE vec_id < 50),
-i AS (SELECT vec_id AS id, label, embedding::DOUBLE[] AS e FROM embeddings WHERE vec_id >= 50),
-s AS (SELECT qid, id, round(list_dot_product(q.e, i.e) / sqrt(list_dot_product(q.e, q.e)) / sqrt(list_dot_product(i.e, i.e)), 6) AS score FROM q, i),
+q AS (SELECT vec_id AS qid, label AS qlabel, embedding::DOUBLE[] AS e FROM embeddings WHERE vec_id % 50 = 0),
+i AS (SELECT vec_id AS id, label, embedding::DOUBLE[] AS e FROM embeddings),
+s AS (SELECT qid, id, round(list_dot_product(q.e, i.e) / sqrt(list_dot_product(q.e, q.e)) / sqrt(list_dot_product(i.e, i.e)), 6) AS score FROM q, i WHERE qid <> id),
 r AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY score DESC, id) AS rank FROM s) WHERE rank <= 10)
 """
 
@@ -71,7 +71,7 @@ def dense_topk(spark, sf_dir):
 @query(f"""
 WITH {_RANKED},
 h AS (SELECT q.qid, count(*) AS n, count(CASE WHEN rank <= 5 THEN 1 END) AS k5, count(r.rank) AS k10, min(r.rank) AS f
-      FROM q JOIN i ON q.qlabel = i.label LEFT JOIN r ON r.qid = q.qid AND r.id = i.id GROUP BY q.qid)
+      FROM q JOIN i ON q.qlabel = i.label AND q.qid <> i.id LEFT JOIN r ON r.qid = q.qid AND r.id = i.id GROUP BY q.qid)
 SELECT round(coalesce(avg(CASE WHEN k5 > 0 THEN 1.0::DOUBLE ELSE 0.0 END), 0), 9) AS hit_at_5, round(coalesce(avg(coalesce(1.0::DOUBLE / f, 0)), 0), 9) AS reciprocal_rank,
        round(coalesce(avg(k10 / n), 0), 9) AS recall_at_10, round(coalesce(avg(k5 / n), 0), 9) AS served_recall, count(*) AS n_questions FROM h
 """)
@@ -97,7 +97,7 @@ def missing_gold(spark, sf_dir):
 WITH {_RANKED.replace("rank <= 10", "rank <= 10")},
 k AS (SELECT unnest([1, 3, 5, 10]) AS k),
 m AS (SELECT 'top_' || lpad(CAST(k AS VARCHAR), 2, '0') AS name, round(avg(CASE WHEN EXISTS (SELECT 1 FROM r JOIN i ON r.id = i.id WHERE r.qid = q.qid AND r.rank <= k AND i.label = q.qlabel) THEN 1.0::DOUBLE ELSE 0 END), 9) AS value
-      FROM k, q WHERE q.qlabel IN (SELECT label FROM i) GROUP BY k)
+      FROM k, q WHERE EXISTS (SELECT 1 FROM i WHERE i.label = q.qlabel AND i.id <> q.qid) GROUP BY k)
 SELECT name, value, row_number() OVER (ORDER BY value DESC, name) = 1 AS won FROM m
 """)
 def experiment_winner(spark, sf_dir):
@@ -316,7 +316,7 @@ def _snapshots(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
 _SNAPSHOTS = """
 p AS (SELECT url AS base_path, min(page_id) AS page_id, arg_min(sha256(html), page_id) AS h FROM pages GROUP BY url),
 o AS (SELECT base_path, h AS content_hash, 'old-' || page_id AS fetched_at FROM p WHERE page_id % 7 <> 0),
-n AS (SELECT base_path, CASE WHEN page_id % 3 = 0 THEN reverse(h) ELSE h END AS content_hash, 'new' AS fetched_at FROM p WHERE page_id % 5 <> 0)
+n AS (SELECT base_path, CASE WHEN page_id % 3 = 0 THEN reverse(h) ELSE h END AS content_hash, 'new' AS fetched_at FROM p WHERE page_id % 5 <> 0 OR page_id % 7 = 0)
 """
 
 
@@ -410,8 +410,8 @@ def queue_summary(spark, sf_dir):
 @query("""
 WITH c AS (SELECT lang AS suite, source AS metric, avg(quality)::DOUBLE AS current FROM documents JOIN labels USING (doc_id) GROUP BY ALL),
 b AS (SELECT lang AS suite, avg(quality)::DOUBLE AS baseline FROM documents JOIN labels USING (doc_id) GROUP BY ALL),
-j AS (SELECT c.*, baseline, CASE WHEN current < 0.6 THEN 'floor' WHEN baseline > 0 AND (baseline - current) / baseline > 0.05 THEN 'drop' ELSE '' END AS reason FROM c LEFT JOIN b USING (suite))
-SELECT suite, metric, round(current, 9) AS current, round(baseline, 9) AS baseline, reason = '' AS passed, reason, reason <> '' AND suite = 'en' AS blocking FROM j
+j AS (SELECT c.*, baseline, CASE WHEN suite <> 'en' THEN '' WHEN current < 0.6 THEN 'floor' WHEN baseline > 0 AND (baseline - current) / baseline > 0.05 THEN 'drop' ELSE '' END AS reason FROM c LEFT JOIN b USING (suite))
+SELECT suite, metric, round(current, 9) AS current, round(baseline, 9) AS baseline, reason = '' AS passed, reason, reason <> '' AS blocking FROM j
 """)
 def gate_by_slice(spark, sf_dir):
     """The gate over quality by language and source, against the language's mean."""
@@ -443,11 +443,11 @@ def run_spread(spark, sf_dir):
 
 
 @query(f"""
-WITH c AS (SELECT doc_id AS pos, left(text, 60) AS question FROM documents WHERE text IS NOT NULL),
+WITH c AS (SELECT doc_id AS pos, text AS question FROM documents WHERE text IS NOT NULL),
 k AS (SELECT *, lower({_strip('question')}) AS key, row_number() OVER (PARTITION BY lower({_strip('question')}) ORDER BY pos) AS nth FROM c),
-g AS (SELECT DISTINCT lower({_strip('left(text, 60)')}) AS key FROM documents WHERE doc_id % 10 = 0),
-n AS (SELECT *, row_number() OVER (ORDER BY pos) - 1 + (SELECT max(doc_id) + 1 FROM documents WHERE doc_id % 10 = 0) AS number FROM k WHERE nth = 1 AND key NOT IN (SELECT key FROM g))
-SELECT printf('q_%04d', CAST(number AS BIGINT)) AS id, question, 'v2' AS added_in FROM n
+g AS (SELECT DISTINCT lower({_strip('text')}) AS key FROM documents WHERE doc_id % 10 = 0 AND text IS NOT NULL),
+n AS (SELECT *, row_number() OVER (ORDER BY pos) - 1 + (SELECT max(doc_id) + 1 FROM documents WHERE doc_id % 10 = 0 AND text IS NOT NULL) AS number FROM k WHERE nth = 1 AND key NOT IN (SELECT key FROM g))
+SELECT printf('q_%04d', CAST(number AS BIGINT)) AS id, {_strip('question')} AS question, 'v2' AS added_in FROM n
 """)
 def promote_ids(spark, sf_dir):
     """New questions with ids that go on from the golden set's."""
