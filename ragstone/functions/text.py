@@ -129,8 +129,11 @@ def normalise_figure(x: Column) -> Column:
 
 def unsupported_figures(answer: Column, passage: Column) -> Column:
     """Figures of the answer that the passage lacks by value; none for a blank passage."""
-    have = F.transform(figures(passage), normalise_figure)
-    missing = F.filter(figures(answer), lambda f: (normalise_figure(f) != "") & ~F.array_contains(have, normalise_figure(f)))
+    found = figures(answer)
+    lacking = F.array_except(F.transform(found, normalise_figure), F.transform(figures(passage), normalise_figure))
+    # What is lacking is an element of an array here, else it was found anew for every figure.
+    pick = lambda lost: F.filter(found, lambda f: (normalise_figure(f) != "") & F.array_contains(lost, normalise_figure(f)))
+    missing = F.element_at(F.transform(F.array(lacking), pick), 1)
     return F.when(strip(passage) == "", F.array().cast("array<string>")).otherwise(F.transform(missing, strip))
 
 

@@ -27,8 +27,10 @@ def simple_windows(x: Column, size: int, overlap: int) -> Column:
         raise ValueError(f"need size > 0 and 0 <= overlap < size, not {size} and {overlap}")
     step = size - overlap
     steps = F.regexp_extract_all(x, F.lit(f"(?s).{{1,{step}}}"), 0)
-    window = lambda _, i: text.strip(F.left(F.array_join(F.slice(steps, i + 1, -(-size // step)), ""), F.lit(size)))
-    return F.filter(F.transform(steps, window), lambda w: w != "")
+    window = lambda s, i: text.strip(F.left(F.array_join(F.slice(s, i + 1, -(-size // step)), ""), F.lit(size)))
+    # The steps are an element of an array here, else they were cut anew for every window.
+    windows = F.element_at(F.transform(F.array(steps), lambda s: F.transform(s, lambda _, i: window(s, i))), 1)
+    return F.filter(windows, lambda w: w != "")
 
 
 def recursive_split(x: str, size: int, overlap: int, separators: Sequence[str]) -> list[str]:

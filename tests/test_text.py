@@ -1,5 +1,6 @@
 import hashlib
 import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -97,3 +98,19 @@ def test_chunk_ids(spark):
     pages = spark.createDataFrame([("/a/", "x" * 25)], "base_path string, body string")
     got = chunking.chunk_pages(pages, "simple", 10, 0).orderBy("chunk_index").collect()
     assert [(r.chunk_id, len(r.text)) for r in got] == [("gov-uk/a#chunk-0", 10), ("gov-uk/a#chunk-1", 10), ("gov-uk/a#chunk-2", 5)]
+
+
+def test_long_texts_take_linear_time(spark):
+    """Twice the text takes about twice the time, for windows and for figures."""
+    cases = {
+        lambda: F.size(chunking.simple_windows(F.col("x"), 200, 50)): "some words and 17 more ",
+        lambda: F.size(text.unsupported_figures(F.col("x"), F.lit("one of 3"))): "it was 1{i} in 19{i} and ",
+    }
+    for make, part in cases.items():
+        spent = []
+        for n in (8_000, 16_000):
+            rows = spark.createDataFrame([("".join(part.replace("{i}", str(i % 90)) for i in range(n)),)], "x string")
+            start = time.perf_counter()
+            rows.select(make()).collect()
+            spent.append(time.perf_counter() - start)
+        assert spent[1] < 3 * spent[0] + 3
