@@ -75,11 +75,12 @@ def recursive_windows(x: Column, size: int, overlap: int, separators: Sequence[s
 SPLITTERS = {"simple": simple_windows, "recursive": recursive_windows}
 
 
-def chunk_pages(pages: DataFrame, splitter: str = "simple", size: int = 200, overlap: int = 40) -> DataFrame:
-    """chunk_id, page_path, chunk_index, text, content_hash of ``pages`` (base_path, body)."""
+def chunk_pages(pages: DataFrame, splitter: str = "simple", size: int = 200, overlap: int = 40, separators: Sequence[str] | None = None) -> DataFrame:
+    """chunk_id, page_path, chunk_index, text, content_hash of ``pages`` (base_path, body); ``separators`` are for the recursive splitter."""
     if splitter not in SPLITTERS:
         raise ValueError(f"unknown splitter {splitter!r}")
-    pieces = SPLITTERS[splitter](F.col("body"), size, overlap)
+    more = (separators,) if separators and splitter == "recursive" else ()
+    pieces = SPLITTERS[splitter](F.col("body"), size, overlap, *more)
     rows = pages.select(F.col("base_path").alias("page_path"), F.posexplode(pieces).alias("chunk_index", "text")).filter("text <> ''")
     chunk_id = F.concat(text.page_path_id(F.col("page_path")), F.lit("#chunk-"), F.col("chunk_index").cast("string"))
     return rows.select(chunk_id.alias("chunk_id"), "page_path", "chunk_index", "text", text.content_hash(F.col("text")).alias("content_hash"))

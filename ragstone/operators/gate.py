@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
 def gated(current: DataFrame, baseline: DataFrame, rules: DataFrame, comparable: bool = True) -> DataFrame:
-    """suite, metric, current, baseline, passed, reason, blocking for every rule with a current value.
+    """suite, metric, current, baseline, passed, reason, blocking, gates for every rule with a current value.
 
     ``rules``: suite, metric, floor, max_drop, gating. The floor is looked at first; both limits are
     strict; a baseline that is not positive, or none, sets no tolerance. A rule that does not gate, and
@@ -18,7 +18,72 @@ def gated(current: DataFrame, baseline: DataFrame, rules: DataFrame, comparable:
     gates = F.coalesce("gating", F.lit(True)) & F.lit(comparable)
     reason = F.when(~gates, "").when(F.col("current") < F.col("floor"), "floor").when(drop > F.col("max_drop"), "drop").otherwise("")
     rows = rows.withColumn("reason", reason).withColumn("passed", F.col("reason") == "")
-    return rows.select("suite", "metric", "current", "baseline", "passed", "reason", (~F.col("passed")).alias("blocking"))
+    return rows.select("suite", "metric", "current", "baseline", "passed", "reason", (~F.col("passed")).alias("blocking"), gates.alias("gates"))
+
+
+def comparability(results: dict, baseline: dict, expected_version: str) -> tuple[dict[str, bool], list[str]]:
+    """Whether each suite can be held against ``baseline``, by name ("" for all others), and why not.
+
+    Another dataset version, or no baseline, makes the whole run report only; a judge suite also needs
+    the same recorded grader and as many questions judged. ValueError if there are no results, or they
+    carry another version than ``expected_version``.
+    """
+    version, then = results.get("dataset_version"), baseline.get("dataset_version")
+    if not results:
+        raise ValueError("no results")
+    if version != expected_version:
+        raise ValueError(f"results carry dataset {version!r}, {expected_version!r} is expected")
+    if not baseline:
+        return {"": False, "judge": False}, ["There is no baseline; this is a report only."]
+    whole, notes = then == version, []
+    if not whole:
+        notes.append(f"The dataset moved from `{then}` to `{version}`; this is a report only.")
+    judged = whole
+    grader, before = results.get("judge_backend"), baseline.get("judge_backend")
+    n, n_before = results.get("judge_n_judged"), baseline.get("judge_n_judged")
+    if results.get("judge") and grader and grader != before:
+        judged = False
+        notes.append(f"Judge: the grader is `{grader}`, the baseline's is " + (f"`{before}`." if before else "not recorded."))
+    elif results.get("judge") and n and n_before and n != n_before:
+        judged = False
+        notes.append(f"Judge: {n} questions were judged, {n_before} for the baseline.")
+    return {"": whole, "judge": judged}, notes
+
+
+def baseline_of(results: dict) -> dict:
+    """What of ``results`` a baseline keeps: versions, metrics and counts, nothing per question; the judge's part only if it ran."""
+    detail, judged = results.get("retrieval_detail") or {}, results.get("judge_detail") or {}
+    kept = {"dataset_version": results.get("dataset_version"), "retrieval": results.get("retrieval") or {}}
+    kept["retrieval_detail"] = {k: detail[k] for k in ("n_questions", "n_answerable", "n_negatives") if k in detail}
+    if results.get("judge"):
+        kept |= {k: results.get(k) for k in ("judge", "judge_runs", "judge_backend", "judge_n_judged")}
+        kept["judge_spread"] = judged.get("spread") or {}
+        if judged.get("truncated"):
+            kept["judge_truncated_from"] = judged.get("n_answerable_total")
+    return kept
+
+
+def gate_run(spark: SparkSession, results: dict, baseline: dict, thresholds: dict) -> tuple[int, DataFrame | None, list[str]]:
+    """(exit code, result rows, notes) of the ``thresholds`` (dataset.version, suites) over two result files.
+
+    2: the run cannot be held against anything; 1: a gating rule failed; 0: none did.
+    """
+    try:
+        comparable, notes = comparability(results, baseline, thresholds["dataset"]["version"])
+    except ValueError as e:
+        return 2, None, [str(e)]
+    rules, values = [], {"current": [], "baseline": []}
+    for suite, about in thresholds["suites"].items():
+        for metric, rule in about["metrics"].items():
+            gating = about.get("gating", True) and rule.get("gating", True) and comparable.get(suite, comparable[""])
+            number = lambda k: None if rule.get(k) is None else float(rule[k])  # noqa: B023, E731
+            rules.append((suite, metric, number("absolute_floor"), number("max_relative_drop"), bool(gating)))
+            for side, file in (("current", results), ("baseline", baseline)):
+                if (file.get(suite) or {}).get(metric) is not None:
+                    values[side].append((suite, metric, float(file[suite][metric])))
+    frame = lambda rows: spark.createDataFrame(rows, "suite string, metric string, value double")
+    rows = gated(frame(values["current"]), frame(values["baseline"]), spark.createDataFrame(rules, "suite string, metric string, floor double, max_drop double, gating boolean"))
+    return exit_code(rows), rows, notes
 
 
 def exit_code(result: DataFrame, version_matches: bool = True) -> int:

@@ -68,6 +68,20 @@ def decision_faults(decisions: DataFrame, candidates: DataFrame) -> DataFrame:
     return unknown.union(twice).union(bad).union(blank)
 
 
+def refuse(faults: DataFrame, what: str) -> None:
+    """Raise ValueError with the first of ``faults``, if there are any."""
+    if found := faults.head(5):
+        raise ValueError(f"{what}: " + "; ".join(", ".join(f"{k}={v!r}" for k, v in row.asDict().items()) for row in found))
+
+
+def apply_decisions(candidates: DataFrame, decisions: DataFrame) -> DataFrame:
+    """``with_decisions`` after every decision was found to be sound; raises ValueError with the first faults."""
+    if "_corrupt" in decisions.columns:
+        refuse(decisions.filter("_corrupt is not null").select("candidate_id", "_corrupt"), "unreadable decisions")
+    refuse(decision_faults(decisions, candidates), "decisions")
+    return with_decisions(candidates, decisions)
+
+
 def with_decisions(candidates: DataFrame, decisions: DataFrame) -> DataFrame:
     """``candidates`` with human decisions applied: status, and rewritten question and ground_truth."""
     d = decisions.select("candidate_id", F.col("decision").alias("d"), F.col("question").alias("q"), F.col("ground_truth").alias("a"))
@@ -89,7 +103,7 @@ def _promotable(candidates: DataFrame, golden: DataFrame) -> DataFrame:
 
 
 def promote(candidates: DataFrame, golden: DataFrame, version: str) -> DataFrame:
-    """New golden records from approved ``candidates`` (with pos), as ``version`` (like v2); ids go on from the highest.
+    """New golden records from approved ``candidates`` (with pos), as ``version`` (like v2); ids go on from the highest, or start at 1.
 
     Known and repeated questions are skipped, and negatives with sources and others without (null counts
     as none); a skipped candidate does not make a later one repeated. Question and ground truth are
@@ -98,7 +112,7 @@ def promote(candidates: DataFrame, golden: DataFrame, version: str) -> DataFrame
     if not re.fullmatch(r"v\d+", version):
         raise ValueError(f"version must look like 'v2', got {version!r}")
     rows = _promotable(candidates, golden).filter("not skip")
-    base = golden.agg((F.coalesce(F.max(F.regexp_extract("id", r"^q_(\d+)$", 1).try_cast("int")), F.lit(-1)) + 1).alias("base"))
+    base = golden.agg((F.coalesce(F.max(F.regexp_extract("id", r"^q_(\d+)$", 1).try_cast("int")), F.lit(0)) + 1).alias("base"))
     number = F.row_number().over(Window.orderBy("pos")) - 1
     rows = rows.withColumn("number", number).join(F.broadcast(base))
     new_id = F.format_string("q_%04d", (F.col("number") + F.col("base")).cast("int"))

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -12,45 +12,82 @@ from pyspark.sql import functions as F
 
 from ragstone.functions import text
 
-#: Queries that one pass over the index serves; more are served in blocks of this size.
+#: Queries that one pass over the index serves, and the size of blocks beyond; rows of a slice of the
+#: index that a block meets in one task; rows multiplied at once.
 QUERY_BLOCK = 1024
-
-
-def dense_topk(queries: DataFrame, index: DataFrame, k: int = 10, normalise: bool = True, others: bool = False) -> DataFrame:
+INDEX_SLICE = 65_536
+STEP = 4096
+
+
+def _best(qids: np.ndarray, matrix: np.ndarray, batches: Iterable[pa.RecordBatch], k: int, unit: Callable, others: bool) -> pa.RecordBatch:
+    """qid, id, score of the ``k`` best rows of ``batches`` (id, embedding) per query of ``matrix``."""
+    best_id, best = np.zeros((len(qids), 0), qids.dtype), np.zeros((len(qids), 0))
+    for batch in batches:
+        for at in range(0, batch.num_rows, STEP):
+            part = batch.slice(at, STEP)
+            ids, vectors = _array(part["id"]), unit(_matrix(part["embedding"], matrix.shape[1]))
+            # Ids are compared by their places in one sorted list, so text ids are never copied per query.
+            names, code = np.unique(np.concatenate([best_id.ravel(), ids]), return_inverse=True)
+            mine, new = code[: best_id.size].reshape(best_id.shape), np.broadcast_to(code[best_id.size :], (len(qids), len(ids)))
+            codes = np.concatenate([mine, new], axis=1)
+            scores = np.concatenate([best, np.round(matrix @ vectors.T, 6) + 0.0], axis=1)
+            if others:
+                at_own = np.minimum(np.searchsorted(names, qids), len(names) - 1)
+                scores[(codes == at_own[:, None]) & (names[at_own] == qids)[:, None]] = -np.inf
+            order = np.lexsort((codes, -scores), axis=1)[:, :k]
+            best_id, best = names[np.take_along_axis(codes, order, 1)], np.take_along_axis(scores, order, 1)
+    keep = best.ravel() != -np.inf
+    kind = pa.string() if qids.dtype.kind == "U" else pa.int64()
+    columns = [pa.array(np.repeat(qids, best.shape[1])[keep].tolist(), kind), pa.array(best_id.ravel()[keep].tolist(), kind), pa.array(best.ravel()[keep])]
+    return pa.RecordBatch.from_arrays(columns, names=["qid", "id", "score"])
+
+
+def _array(ids) -> np.ndarray:
+    return np.array(ids.to_pylist(), dtype="U" if pa.types.is_string(ids.type) or pa.types.is_large_string(ids.type) else "i8")
+
+
+def _matrix(vectors, width: int) -> np.ndarray:
+    flat = vectors.combine_chunks().flatten() if isinstance(vectors, pa.ChunkedArray) else vectors.flatten()
+    return np.array(flat, dtype="f8").reshape(-1, width)
+
+
+def dense_topk(queries: DataFrame, index: DataFrame, k: int = 10, normalise: bool = True, others: bool = False, block: int = QUERY_BLOCK) -> DataFrame:
     """qid, id, score (6 decimals), rank of the ``k`` best rows of ``index`` (id, embedding) per query (qid, embedding).
 
-    Blocks of at most QUERY_BLOCK query vectors travel to the index, which is never shuffled: each
-    task multiplies its batches by the block and passes on its own best ``k`` per query. Order: score,
-    then id. A zero vector scores 0. ``others``: rows with the query's own id do not count.
+    Up to ``block`` queries, counted first, travel to the index, which is not shuffled: each task
+    multiplies its batches by them and passes on its own best ``k`` per query. More are dealt out in
+    blocks of about that size, and meet slices of the index in tasks of their own; nothing of them is
+    gathered on the driver. Order: score, then id. A zero vector scores 0; null vectors take no part.
+    Ids are numbers, or texts on both sides. ``others``: rows with the query's own id do not count.
     """
-    out = "qid long, id long, score double"
-    qs = queries.select(F.col("qid").cast("long"), "embedding").orderBy("qid").collect()
-    index = index.select(F.col("id").cast("long").alias("id"), "embedding")
+    kind = "string" if dict(index.dtypes)["id"] == "string" else "long"
+    out = f"qid {kind}, id {kind}, score double"
+    queries = queries.select(F.col("qid").cast(kind).alias("qid"), "embedding").filter("embedding is not null")
+    index = index.select(F.col("id").cast(kind).alias("id"), "embedding").filter("embedding is not null")
     unit = lambda m: m / np.where((norm := np.linalg.norm(m, axis=1, keepdims=True)) == 0, 1.0, norm) if normalise else m
-    found = None
-    for at in range(0, len(qs), QUERY_BLOCK):
-        block = qs[at : at + QUERY_BLOCK]
-        qids, matrix = np.array([q[0] for q in block]), unit(np.array([q[1] for q in block], dtype="f8"))
-
-        def search(batches: Iterator[pa.RecordBatch], qids=qids, matrix=matrix) -> Iterator[pa.RecordBatch]:
-            best_id, best = np.zeros((len(qids), 0), "i8"), np.zeros((len(qids), 0))
-            for batch in batches:
-                if batch.num_rows:
-                    vectors = unit(np.array(batch["embedding"].flatten()).astype("f8").reshape(batch.num_rows, -1))
-                    ids = np.concatenate([best_id, np.broadcast_to(np.array(batch["id"]), (len(qids), batch.num_rows))], axis=1)
-                    scores = np.concatenate([best, np.round(matrix @ vectors.T, 6) + 0.0], axis=1)
-                    if others:
-                        scores[ids == qids[:, None]] = -np.inf
-                    order = np.lexsort((ids, -scores), axis=1)[:, :k]
-                    best_id, best = np.take_along_axis(ids, order, 1), np.take_along_axis(scores, order, 1)
-            keep = best.ravel() != -np.inf
-            yield pa.RecordBatch.from_pydict({"qid": np.repeat(qids, best.shape[1])[keep], "id": best_id.ravel()[keep], "score": best.ravel()[keep]})
-
-        part = index.mapInArrow(search, out)
-        found = part if found is None else found.union(part)
-    if found is None:
-        found = queries.sparkSession.createDataFrame([], out)
-    return ranked(found, k)
+    first = queries.orderBy("qid").limit(block + 1).collect()
+    if not first:
+        return ranked(queries.sparkSession.createDataFrame([], out), k)
+    if len(first) <= block:
+        qids, matrix = np.array([q[0] for q in first]), unit(np.array([q[1] for q in first], dtype="f8"))
+
+        def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            yield _best(qids, matrix, batches, k, unit, others)
+
+        return ranked(index.mapInArrow(search, out), k)
+    n_blocks, n_slices = -(-queries.count() // block), -(-max(1, index.count()) // INDEX_SLICE)
+    deal = lambda c, n: F.pmod(F.xxhash64(c), F.lit(n))
+    every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")))
+    q = queries.withColumns({"block": deal("qid", n_blocks)}).withColumn("slice", every(n_slices))
+    x = index.withColumns({"slice": deal("id", n_slices)}).withColumn("block", every(n_blocks))
+
+    def meet(left: pa.Table, right: pa.Table) -> pa.Table:
+        if not left.num_rows:
+            return pa.Table.from_batches([_best(_array(right["id"])[:0], np.zeros((0, 0)), [], k, unit, others)])
+        matrix = unit(_matrix(left["embedding"], len(left["embedding"][0])))
+        return pa.Table.from_batches([_best(_array(left["qid"]), matrix, right.to_batches(), k, unit, others)])
+
+    return ranked(q.groupBy("block", "slice").cogroup(x.groupBy("block", "slice")).applyInArrow(meet, out), k)
 
 
 def ranked(scores: DataFrame, k: int, by: str = "id") -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -131,8 +132,8 @@ def earlier_kept(nodes: DataFrame, pairs: DataFrame, most_rounds: int = 1000) ->
     """
     spark = nodes.sparkSession
     if not spark.conf.get("spark.checkpoint.dir", None) and not spark.sparkContext.getCheckpointDir():
-        import tempfile
-
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="ragstone-"))
     state = nodes.select("id", "eligible", F.lit(None).cast("boolean").alias("rejected")).checkpoint()
     pairs = pairs.select("a", "b").distinct().checkpoint()

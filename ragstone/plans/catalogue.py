@@ -421,7 +421,7 @@ def gate_by_slice(spark, sf_dir):
     rules = current.select("suite", "metric", F.lit(0.6).alias("floor"), F.lit(0.05).alias("max_drop"), (F.col("suite") == "en").alias("gating"))
     baseline = current.select("suite", "metric").join(means, "suite")
     result = gate.gated(current, baseline.select("suite", "metric", "value"), rules)
-    return result.withColumns({"current": F.round("current", 9), "baseline": F.round("baseline", 9)})
+    return result.drop("gates").withColumns({"current": F.round("current", 9), "baseline": F.round("baseline", 9)})
 
 
 @query("""
