@@ -60,11 +60,11 @@ BLOCK = 1024
 #: Guests that meet a block of a shell's sets in one task, in blocks.
 GUESTS = 16
 #: n-grams or list entries that a task gathers before it deals them out.
-GATHER = 1 << 20
+GATHER = 1 << 18
 #: Pairs whose bitmaps are compared at once.
 PAIRS = 1 << 16
 #: n-grams of all sets for each task that lists them.
-SLOT_GRAMS = 4_000_000
+SLOT_GRAMS = 2_000_000
 #: Sets whose equal a task passes over when it meets them again.
 MOST_SEEN = 100_000
 #: Rows of one column up to which a table of ids is broadcast.
@@ -244,6 +244,17 @@ def _dealt(slot: np.ndarray, rows: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_pydict({"slot": pa.array(slot[first], pa.int32()), "data": [x.tobytes() for x in np.split(rows, first[1:])]})
 
 
+def _packed(column: pa.ChunkedArray) -> np.ndarray:
+    """The bytes of packed rows end to end, copied once."""
+    out = [np.zeros(0, np.uint8)]
+    for chunk in column.chunks:
+        chunk = chunk.cast(pa.large_binary())
+        _, offsets, data = chunk.buffers()
+        at = np.frombuffer(offsets, np.int64, len(chunk) + 1, chunk.offset * 8)
+        out.append(np.frombuffer(data, np.uint8)[at[0] : at[-1]] if data else out[0])
+    return np.concatenate(out)
+
+
 def frequent_grams(docs: DataFrame, n_slots: int, least: int = FREQUENT, most: int = MOST_FREQUENT) -> tuple[np.ndarray, np.ndarray]:
     """The n-grams found in ``least`` sets or more, the most frequent ``most`` at most, ascending; and over how many tasks each one's list is spread."""
     top = np.uint64(int(COUNTED * 2**64))
@@ -265,7 +276,7 @@ def frequent_grams(docs: DataFrame, n_slots: int, least: int = FREQUENT, most: i
             yield out()
 
     def count(table: pa.Table) -> pa.Table:
-        grams = np.sort(np.frombuffer(b"".join(table["data"].to_pylist()), "<u8"))
+        grams = np.sort(_packed(table["data"]).view("<u8"))
         first = np.flatnonzero(np.diff(grams, prepend=grams[:1] ^ np.uint64(1)))
         n = np.diff(first, append=len(grams))
         often = n >= least
@@ -323,7 +334,7 @@ def index_lists(docs: DataFrame, frequent: tuple[np.ndarray, np.ndarray], n_slot
 
     def listed(table: pa.Table) -> pa.Table:
         often, spread = known.value
-        rows = np.frombuffer(b"".join(table["data"].to_pylist()), ENTRY)
+        rows = _packed(table["data"]).view(ENTRY)
         t = np.sort(rows["t"])  # most lists have one set: they go first
         alone = np.ones(len(t), bool)
         same = t[1:] == t[:-1]

@@ -211,6 +211,16 @@ def test_shingles_are_those_of_the_words():
     assert [x.tolist() for x in set_join.shingles_of(pa.array(texts, pa.string()).slice(3, 9))] == [x.tolist() for x in got[3:12]]
 
 
+def test_packed_rows_are_read_from_slices_and_chunks():
+    rows = [b"ab", b"", b"cde", b"", b"f"]
+    for cut in ([0, 5], [0, 2, 2, 5], [0, 1, 4]):
+        whole = pa.array(rows, pa.binary())
+        parts = [whole.slice(a, b - a) for a, b in zip(cut, cut[1:])]
+        assert set_join._packed(pa.chunked_array(parts)).tobytes() == b"".join(rows[: cut[-1]])
+    assert set_join._packed(pa.chunked_array([pa.array(rows, pa.large_binary()).slice(1, 2)])).tobytes() == b"cde"
+    assert set_join._packed(pa.chunked_array([], pa.binary())).tobytes() == b""
+
+
 def test_bitmaps_bound_the_difference():
     rng = np.random.default_rng(5)
     base = np.unique(rng.integers(0, 1 << 63, 3000, dtype=np.uint64))
