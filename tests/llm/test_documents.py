@@ -66,6 +66,27 @@ def test_quality_of_small_and_junk_groups(spark):
     assert {i: r[3] for i, r in enumerate(rows)} == got
 
 
+def test_quality_query_gives_the_rows_of_its_sql(spark, tmp_path):
+    """Groups of 1 to 3 with junk among a common one: their own fences decide, as in the SQL."""
+    import duckdb
+
+    from ragstone.llm import catalogue
+
+    rng = random.Random(5)
+    junk = lambda end: " ".join(f"w{rng.randint(0, 999)}{end}" for _ in range(80))
+    rows = [(junk(""), "en", "common") for _ in range(60)] + [(junk("%%%"), "en", "common"), (junk("%%%"), "en", "one"), (junk("%%%"), None, None)]
+    rows += [(t, "de", "three") for t in (junk(""), junk("#" * 9), junk("#" * 9))] + [("few words", "fr", "one"), (None, "en", "one")]
+    docs = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "doc_id long, text string, lang string, source string")
+    docs.coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    got = catalogue.op1_quality(spark, str(tmp_path))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    want = con.execute(catalogue.ORACLE_SQL["op1_quality"])
+    assert [c[0] for c in want.description] == got.columns
+    want = sorted(want.fetchall())
+    assert sorted(map(tuple, got.collect())) == want and {w[0] for w in want if w[-1]} == {*range(60), 61, 62, 63, 64, 65}
+
+
 def test_balanced_tree_and_best_fit():
     rng, tree, held = random.Random(0), sharding.BalancedTree(), set()
     for _ in range(3000):
