@@ -45,6 +45,7 @@ UNRECOVERABLE = (
     "credit balance", "insufficient_quota", "quota", "authentication", "invalid api key", "invalid x-api-key",
     "permission", "not_found_error", "model not found", "no module named",
 )
+ASCII_BOUNDARY = r"(?:(?<=[A-Za-z0-9_])(?![A-Za-z0-9_])|(?<![A-Za-z0-9_])(?=[A-Za-z0-9_]))"
 EMBEDDED = r"(?is)<(script|style)\b.*?</\1>"
 BLOCK_END = r"(?i)</(?:p|div|li|h[1-6]|tr|section|article)>"
 LINE_BREAK = r"(?i)<br\s*/?>"
@@ -113,9 +114,17 @@ def is_self_referential(x: Column) -> Column:
     return F.coalesce(x.rlike(r"(?iU)\b(?:" + "|".join(SELF_REFERENCES) + r")\b"), F.lit(False))
 
 
-def reads_as_question(x: Column) -> Column:
+def reads_as_question(x: Column, ascii_words: bool = False) -> Column:
+    """Whether a question mark ends it or an opener begins it as a whole word, followed by no letter of any script.
+
+    ``ascii_words``: words as RE2 has them, and with it SQL. They end where A-Z, a-z, 0-9 and _ meet anything
+    else, so "doñ" opens with "do"; ſ is read as s.
+    """
     s = strip(F.coalesce(x, F.lit("")))
-    return s.endswith("?") | s.rlike(rf"(?i)^\s*(?:{'|'.join(OPENERS)})\b")
+    openers, end = "|".join(OPENERS), r"\b"
+    if ascii_words:
+        openers, end = openers.replace("s", "[sſ]"), ASCII_BOUNDARY
+    return s.endswith("?") | s.rlike(rf"(?i)^\s*(?:{openers}){end}")
 
 
 def figures(x: Column) -> Column:
